@@ -33,7 +33,7 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     """Names with at least 2 % of all link entries, or of all relations rows; all rows count."""
     per_name = _per_name(spark, root)
     totals = per_name.groupBy("field_name").agg(F.sum("n").alias("total"))  # two rows
-    return per_name.join(F.broadcast(totals), "field_name").where("name IS NOT NULL AND n >= total * 0.02").select("field_name", "name")
+    return per_name.join(F.broadcast(totals), "field_name").where("name IS NOT NULL AND n * 50 >= total").select("field_name", "name")
 
 
 def p1_targets(spark: SparkSession, root: str) -> DataFrame:
