@@ -9,6 +9,7 @@ from ..plans.tables import link_entries
 from ..session import table, tokenizer_dir
 from .frequent import frequent_values
 from .leaks import leaks
+from .neardup import NearDuplicates
 from .repetition import LEAST_WINDOWS, SHARE, profiles
 from .tokens import encode
 
@@ -26,6 +27,17 @@ def p2_counts(spark: SparkSession, root: str) -> DataFrame:
     return frequent_values(link_entries(spark, root), "value", share=P2_SHARE / 4).select(F.col("value").alias("link_value"), "n")
 
 
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    """Pairs of chunks whose texts share at least 0.6 of their runs of five characters, copies included."""
+    near = NearDuplicates(table(spark, root, "chunks"), "chunk_id", "text")
+    return near.pairs().select(F.col("a").alias("chunk_a"), F.col("b").alias("chunk_b")).distinct()
+
+
+def p7_classes(spark: SparkSession, root: str) -> DataFrame:
+    """One row a chunk: the class it belongs to and the number of chunks it is linked with."""
+    return NearDuplicates(table(spark, root, "chunks"), "chunk_id", "text").classes().withColumnRenamed("id", "chunk_id")
+
+
 def p8_ids(spark: SparkSession, root: str) -> DataFrame:
     """Ids of every document's text by byte_bpe_50k."""
     return encode(table(spark, root, "documents"), "doc_id", "text", f"{tokenizer_dir()}/byte_bpe_50k.tiktoken")
@@ -51,7 +63,7 @@ def p10_profiles(spark: SparkSession, root: str) -> DataFrame:
     return profiles(table(spark, root, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p8_ids, p9_found, p9_edited, p10_found, p10_profiles)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p7_found, p7_classes, p8_ids, p9_found, p9_edited, p10_found, p10_profiles)}
 
 _LINKS = """SELECT value FROM (SELECT unnest(outlinks) AS value FROM documents) WHERE value IS NOT NULL
     AND regexp_matches(value, '[^\\s\\x{A0}\\x{85}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{1C}-\\x{1F}]')"""
