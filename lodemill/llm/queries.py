@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.tables import link_entries
 from ..session import table, tokenizer_dir
+from .body import main_pieces
 from .frequent import frequent_values
 from .leaks import leaks
 from .neardup import NearDuplicates
@@ -27,6 +28,11 @@ def p2_counts(spark: SparkSession, root: str) -> DataFrame:
     return frequent_values(link_entries(spark, root), "value", share=P2_SHARE / 4).select(F.col("value").alias("link_value"), "n")
 
 
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    """Pieces of the main body of every page."""
+    return main_pieces(table(spark, root, "extracted_docs"))
+
+
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
     """Pairs of chunks whose texts share at least 0.6 of their runs of five characters, copies included."""
     near = NearDuplicates(table(spark, root, "chunks"), "chunk_id", "text")
@@ -63,7 +69,7 @@ def p10_profiles(spark: SparkSession, root: str) -> DataFrame:
     return profiles(table(spark, root, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p7_found, p7_classes, p8_ids, p9_found, p9_edited, p10_found, p10_profiles)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p4_found, p7_found, p7_classes, p8_ids, p9_found, p9_edited, p10_found, p10_profiles)}
 
 _LINKS = """SELECT value FROM (SELECT unnest(outlinks) AS value FROM documents) WHERE value IS NOT NULL
     AND regexp_matches(value, '[^\\s\\x{A0}\\x{85}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{1C}-\\x{1F}]')"""
