@@ -176,9 +176,10 @@ def score(pieces: list[Piece]) -> Node | None:
 
 def main_body(source: str | None, furniture: frozenset[str] | set[str] = frozenset()) -> list[int]:
     """Numbers of the pieces that belong to the main body; furniture: texts known to be no page's own."""
-    if not source:
-        return []
-    pieces, first = parse(source)
+    return _kept(*parse(source), furniture) if source else []
+
+
+def _kept(pieces: list[Piece], first: Node, furniture: frozenset[str] | set[str] = frozenset()) -> list[int]:
     best = score(pieces)
     if best is None:
         return []
@@ -236,8 +237,8 @@ def _walk(fields: list[str]):
                 for source in values:
                     if not source:
                         continue
-                    pieces, _ = parse(source)
-                    for k in main_body(source):
+                    pieces, first = parse(source)
+                    for k in _kept(pieces, first):
                         piece = pieces[k]
                         if len(piece.text) > CHROME_CHARS or piece.anchored or piece.node.name == "h1" or piece.text in met or _listed(piece):
                             continue
