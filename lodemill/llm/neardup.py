@@ -165,7 +165,8 @@ class NearDuplicates:
         met = a.join(b, F.col("a.part") == F.col("b.part")).where((F.col("a.rid") < F.col("b.rid")) & (unequal <= CHECKS - AGREE))
         met = met.select(F.col("a.rid").alias("ra"), F.col("b.rid").alias("rb")).distinct()
 
-        whole = firsts.groupBy("rid", "digest").agg(F.min(F.struct("id", "n", "full")).alias("x")).select("rid", "digest", "x.*")
+        # one shuffle serves the removal of copies and both joins
+        whole = firsts.select("rid", "digest", "id", "n", "full").repartition("rid").groupBy("rid", "digest").agg(F.min(F.struct("id", "n", "full")).alias("x")).select("rid", "digest", "x.*")
         left, right = (whole.select(*[F.col(c).alias(f"{c}{s}") for c in ("id", "digest", "n", "full")], F.col("rid").alias(f"r{s}")) for s in "ab")
         apart = F.aggregate(F.zip_with("fulla", "fullb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         bound = F.lit((1 - similarity) / (1 + similarity)) * (F.col("na") + F.col("nb")) + F.lit(1e-9)
