@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from ..session import shared_dir
+from ..session import cut, shared_dir
 from .words import code_points
 
 RUN, SIMILARITY = 5, 0.6
@@ -34,6 +34,8 @@ PARTS, IN_PART, CHECKS, WORDS = 32, 4, 32, 16
 AGREE = 14
 #: Digests of texts that a task remembers, so that it sketches one of several copies only.
 SEEN = 500_000
+#: Pairs whose ids are broadcast, at most two ids of some 60 bytes each.
+BROADCAST_PAIRS = 400_000
 #: Characters without meaning here (fixed values): space, tab, CR, LF, no-break and zero-width space.
 _GONE = str.maketrans("", "", " \t\r\n ​")
 
@@ -171,10 +173,11 @@ class NearDuplicates:
         apart = F.aggregate(F.zip_with("fulla", "fullb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         bound = F.lit((1 - similarity) / (1 + similarity)) * (F.col("na") + F.col("nb")) + F.lit(1e-9)
         sized = F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity) - F.lit(1e-9)
-        near = met.join(left, "ra").join(right, "rb").where(sized & (apart <= bound)).select("ida", "idb", "digesta", "digestb")
+        near = cut(met.join(left, "ra").join(right, "rb").where(sized & (apart <= bound)).select("ida", "idb", "digesta", "digestb"))
 
         wanted = near.select(F.col("ida").alias("id")).unionByName(near.select(F.col("idb").alias("id"))).distinct()
-        texts = source.join(wanted, "id", "left_semi")
+        # few ids go to the texts, many meet them in a shuffle
+        texts = source.join(F.broadcast(wanted) if near.count() <= BROADCAST_PAIRS else wanted, "id", "left_semi")
         pairs = near.join(texts.select(F.col("id").alias("ida"), F.col("text").alias("texta")), "ida").join(texts.select(F.col("id").alias("idb"), F.col("text").alias("textb")), "idb")
         self.links = pairs.select("digesta", "digestb", "texta", "textb").mapInArrow(_verify(run, similarity), "da binary, db binary")
 
