@@ -7,6 +7,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Characters that NFC never changes and that never join with a neighbour from the same set:
 #: everything below the combining marks, kana, unified ideographs and whole Hangul syllables.
@@ -21,7 +22,7 @@ def page_name(title: str | None) -> str | None:
     return " ".join(unicodedata.normalize("NFC", title).replace("_", " ").split())
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _nfc(values: pa.Array) -> pa.Array:
     return pa.array([None if v is None else unicodedata.normalize("NFC", v) for v in values.to_pylist()], pa.string())
 
