@@ -9,7 +9,7 @@ At t = 0.6 that bound is a quarter of all tokens, so cutting the plain sketch in
 must be equal would need more parts than there are tokens. The pigeonhole join therefore works on a
 parity sketch of a min-wise sample: SAMPLES tokens drawn by as many hash functions, four of them XORed
 into each of PARTS parts. Texts of similarity s agree in a part with probability s**4, so a pair at the
-threshold itself meets with 0.988 and one at 0.7 with 0.9999. What meets is tested by two bits of
+threshold itself meets with 0.996 and one at 0.7 with 0.99998. What meets is tested by two bits of
 CHECKS further samples, by the full sketch's bound and last exactly.
 """
 
@@ -29,9 +29,9 @@ from ..session import cut, shared_dir
 from .words import code_points
 
 RUN, SIMILARITY = 5, 0.6
-PARTS, IN_PART, CHECKS, WORDS = 32, 4, 32, 16
-#: Of CHECKS two-bit samples so many must be equal: 32 * (0.6 + 0.4 / 4) = 22.4 are at the threshold, 3.4 deviations more than this.
-AGREE = 14
+PARTS, IN_PART, CHECKS, WORDS = 40, 4, 32, 16
+#: Of CHECKS two-bit samples so many must be equal: 32 * (0.6 + 0.4 / 4) = 22.4 are at the threshold, 3.6 deviations more than this.
+AGREE = 13
 #: Digests of texts that a task remembers, so that it sketches one of several copies only.
 SEEN = 500_000
 #: Pairs whose ids are broadcast, at most two ids of some 60 bytes each.
