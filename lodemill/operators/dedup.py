@@ -20,7 +20,7 @@ def message_key(chunk_id: Column, content_hash: Column) -> Column:
     chunk_id gives null: such a record is nobody's copy.
     """
     head = F.substring_index(chunk_id, ":", 1)
-    tail = F.regexp_extract(chunk_id, r"(?s)^[^:]*:(.*)$", 1)
+    tail = F.when(chunk_id.contains(":"), F.regexp_extract(chunk_id, r"(?s)^[^:]*:(.*)$", 1))
     digits = F.regexp_replace(F.regexp_extract(F.trim(tail), r"^\+?([0-9]+)$", 1), r"^0+(?=[0-9])", "")
     seq = F.when(digits != "", digits).otherwise(F.concat(F.lit("="), tail))
     parts = F.to_json(F.struct(head.alias("a"), seq.alias("b"), F.lower(content_hash).alias("c")))
