@@ -39,7 +39,7 @@ _COMMA = re.compile("[,，、،]")
 #: Words with which a line that lists the page's categories begins (fixed values).
 _CATEGORY = re.compile(r"^(?:분류|카테고리|categor(?:y|ies)|kategorien?)\s*:", re.I)
 
-#: A text of at most CHROME_CHARS that stands between CHROME_PLACES different pairs of neighbours is furniture.
+#: A text of at most CHROME_CHARS that stands after and before CHROME_PLACES different texts is furniture.
 CHROME_CHARS, CHROME_PLACES = 200, 6
 
 
@@ -226,12 +226,17 @@ def _inside(piece: Piece, best: Node) -> bool:
     return within or best.parent is not None and any(n.section and n.parent is best.parent for n in _up(piece.node))
 
 
+def _short(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big")
+
+
 def _walk(fields: list[str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each page and field: short kept texts outside lists, with a hash of their neighbours."""
+        """Of each page and field: short kept texts outside lists, with hashes of their neighbours."""
         for batch in batches:
             texts: list[str] = []
-            places: list[int] = []
+            before: list[int] = []
+            after: list[int] = []
             for values in zip(*(batch.column(k).to_pylist() for k in range(len(fields)))):
                 met: set[str] = set()
                 for source in values:
@@ -243,10 +248,10 @@ def _walk(fields: list[str]):
                         if len(piece.text) > CHROME_CHARS or piece.anchored or piece.node.name == "h1" or piece.text in met or _listed(piece):
                             continue
                         met.add(piece.text)
-                        around = (pieces[k - 1].text if k else "") + "\0" + (pieces[k + 1].text if k + 1 < len(pieces) else "")
                         texts.append(piece.text)
-                        places.append(int.from_bytes(hashlib.blake2b(around.encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big"))
-            yield pa.record_batch([pa.array(texts, pa.string()), pa.array(places, pa.int64())], ["text", "place"])
+                        before.append(_short(pieces[k - 1].text if k else ""))
+                        after.append(_short(pieces[k + 1].text if k + 1 < len(pieces) else ""))
+            yield pa.record_batch([pa.array(texts, pa.string()), pa.array(before, pa.int64()), pa.array(after, pa.int64())], ["text", "before", "after"])
 
     return work
 
@@ -269,14 +274,15 @@ def _pick(fields: list[str], shared):
 
 
 def furniture_texts(pages: DataFrame, fields: list[str]) -> DataFrame:
-    """text: short texts of the pages' bodies that stand between many different neighbours.
+    """text: short texts of the pages' bodies that stand after many different texts and before many.
 
     A text counts once a page. Copies of a page don't make its sentences furniture, since their
-    neighbours are the same. It takes CHROME_PLACES places, and in a large corpus as many as a 5,000th of
-    its pages, so there are never more than 5,000 times the texts of a mean page.
+    neighbours are the same, nor does a neighbour that is edited in many ways on one side. It takes
+    CHROME_PLACES different neighbours on either side, and in a large corpus as many as a 5,000th of its
+    pages, so there are never more than 5,000 times the texts of a mean page.
     """
-    seen = pages.select(*fields).mapInArrow(_walk(fields), "text string, place long")
-    spread = seen.groupBy("text", "place").agg(F.lit(1).alias("one")).groupBy("text").agg(F.count(F.lit(1)).alias("places")).withColumn("one", F.lit(1))
+    seen = pages.select(*fields).mapInArrow(_walk(fields), "text string, before long, after long")
+    spread = seen.groupBy("text").agg(F.least(F.countDistinct("before"), F.countDistinct("after")).alias("places")).withColumn("one", F.lit(1))
     count = pages.agg(F.count(F.lit(1)).alias("pages"), F.lit(1).alias("one"))
     return spread.where(F.col("places") >= CHROME_PLACES).join(F.broadcast(count), "one").where(F.col("places") * 5000 >= F.col("pages")).select("text")
 
