@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,3 +59,14 @@ def cut(df: DataFrame) -> DataFrame:
 def tokenizer_dir() -> str:
     """Where public vocabulary files lie; LODEMILL_TOKENIZERS overrides."""
     return os.environ.get("LODEMILL_TOKENIZERS", "/opt/tokenizers")
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once a session."""
+    context = spark.sparkContext
+    if getattr(context, "_lodemill_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="lodemill-"), "lodemill"), "zip", os.path.dirname(here), os.path.basename(here))
+    context.addPyFile(made)
+    context._lodemill_shipped = True
