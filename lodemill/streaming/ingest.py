@@ -22,6 +22,7 @@ from ..sources.messages import from_messages
 from ..sources.versioned import VersionedTable
 from .rules import backoff_step
 
+CHUNKS = "chunk_id string, doc_id long, seq int, content_hash string, text string, deleted boolean, offset long"
 OUTCOMES = "key long, seq long, verdict string, fail_count int, next_due_at timestamp_ntz, retried boolean"
 
 
@@ -54,21 +55,28 @@ def into_table(stream: DataFrame, table: VersionedTable, keys: list[str], order:
 
 
 def chunk_messages(messages: DataFrame, table: VersionedTable, dead: str, checkpoint: str) -> StreamingQuery:
-    """Chunk messages (value as JSON) into the table of chunks by chunk_id: the last message of each holds,
-    a deletion takes the chunk out, and values that are no JSON go to the folder dead."""
-    schema = "chunk_id STRING, doc_id LONG, seq INT, content_hash STRING, text STRING, deleted BOOLEAN, offset LONG"
+    """Chunk messages (value as JSON) into the table of chunks by chunk_id: the message with the greatest
+    offset holds, whatever the order in which batches come; values that are no JSON go to the folder dead.
+
+    A deletion stays in the table as a tombstone, so that an older message that comes later doesn't
+    bring the chunk back; living() leaves tombstones out.
+    """
+    schema = CHUNKS
 
     def merge(batch: DataFrame, number: int) -> None:
         rows, broken = from_messages(batch.select("value"), schema)
         broken.write.mode("overwrite").json(f"{dead}/batch-{number}")
-        last = latest(rows.where("chunk_id IS NOT NULL").select("chunk_id", "doc_id", "seq", "content_hash", "text", "deleted", "offset"), ["chunk_id"], F.col("offset"))
-        old = table.read().withColumn("deleted", F.lit(False))
-        newest = latest(old.unionByName(last), ["chunk_id"], F.col("offset"))
-        table.replace(newest.where(~F.coalesce("deleted", F.lit(False))).drop("deleted"), number)
+        last = latest(rows.where("chunk_id IS NOT NULL"), ["chunk_id"], F.col("offset"))
+        table.replace(latest(table.read().unionByName(last), ["chunk_id"], F.col("offset")), number)
 
     return messages.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def living(table: VersionedTable) -> DataFrame:
+    """The chunks of such a table that aren't deleted."""
+    return table.read().where(~F.coalesce("deleted", F.lit(False))).drop("deleted")
+
+
 def report(path: str, **values: Any) -> None:
     """A small report of a run as one JSON file."""
     with open(path, "w", encoding="utf-8") as out:
