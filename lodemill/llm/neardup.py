@@ -37,7 +37,7 @@ SEEN = 500_000
 #: Pairs whose ids are broadcast, at most two ids of some 60 bytes each.
 BROADCAST_PAIRS = 400_000
 #: Characters without meaning here (fixed values): space, tab, CR, LF, no-break and zero-width space.
-_GONE = str.maketrans("", "", " \t\r\n ​")
+_GONE = (" ", "\t", "\r", "\n", "\u00a0", "\u200b")
 
 _random = np.random.default_rng(20)
 _SAMPLES = PARTS * IN_PART + CHECKS
@@ -51,7 +51,11 @@ _PAIRS = np.uint64(4) ** np.arange(CHECKS, dtype=np.uint64)
 
 def folded(text: str | None) -> str:
     """The text without space, tab, line ends, no-break and zero-width spaces, in small letters."""
-    return text.translate(_GONE).lower() if text else ""
+    if not text:
+        return ""
+    for c in _GONE:  # faster than a translation table
+        text = text.replace(c, "")
+    return text.lower()
 
 
 def tokens(text: str, run: int) -> np.ndarray:
@@ -93,11 +97,20 @@ def sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     return full, (parts >> np.uint64(21)) | _PART, checks
 
 
+def _lists(rows: list[np.ndarray], there: list[bool]) -> pa.Array:
+    """Lists of longs, null where there is none; rows are those that are there, all of one length."""
+    values = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
+    width = len(rows[0]) if rows else 0
+    ends = np.concatenate([[0], np.cumsum(np.where(there, width, 0))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=pa.array(~np.array(there, bool)))
+
+
 def _sketches(run: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            ids, digests, rids, sizes, fulls, parts, checks = [], [], [], [], [], [], []
+            ids, digests, rids, sizes, checks = [], [], [], [], []
+            fulls, parts, first = [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 flat = folded(text)
                 if len(flat) < run:
@@ -107,17 +120,16 @@ def _sketches(run: int):
                 digests.append(digest)
                 rids.append(int.from_bytes(digest[:6], "big"))
                 if digest in seen:
-                    sizes.append(None), fulls.append(None), parts.append(None), checks.append(None)
+                    sizes.append(None), checks.append(None), first.append(False)
                     continue
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(digest)
                 h = tokens(flat, run)
                 full, keys, check = sketch(h)
-                sizes.append(len(h)), fulls.append(full), parts.append(keys.view(np.int64)), checks.append(check - (1 << 64) if check >> 63 else check)
-            longs = pa.list_(pa.int64())
+                sizes.append(len(h)), fulls.append(full), parts.append(keys), first.append(True), checks.append(check - (1 << 64) if check >> 63 else check)
             yield pa.record_batch(
-                [pa.array(ids, pa.string()), pa.array(digests, pa.binary()), pa.array(rids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(checks, pa.int64()), pa.array(fulls, longs), pa.array(parts, longs)],
+                [pa.array(ids, pa.string()), pa.array(digests, pa.binary()), pa.array(rids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(checks, pa.int64()), _lists(fulls, first), _lists(parts, first)],
                 ["id", "digest", "rid", "n", "checks", "full", "parts"],
             )
 
