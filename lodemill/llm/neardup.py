@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ PARTS, IN_PART, CHECKS, WORDS = 40, 4, 32, 16
 AGREE = 13
 #: Digests of texts that a task remembers, so that it sketches one of several copies only.
 SEEN = 500_000
+#: A part that more than HOT texts share is split among tasks; found by one text in ONE_IN, which only balances the work.
+HOT, ONE_IN = 8192, 64
 #: Pairs whose ids are broadcast, at most two ids of some 60 bytes each.
 BROADCAST_PAIRS = 400_000
 #: Characters without meaning here (fixed values): space, tab, CR, LF, no-break and zero-width space.
@@ -136,6 +139,16 @@ def _sketches(run: int):
     return work
 
 
+def _meet(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+    """ra, rb: pairs that share a part and enough of the check samples."""
+    a, b = a.alias("a"), b.alias("b")
+    differ = F.col("a.checks").bitwiseXOR(F.col("b.checks"))
+    # of each two bits: equal or not
+    unequal = F.bit_count(differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    same = reduce(lambda x, y: x & y, (F.col(f"a.{c}") == F.col(f"b.{c}") for c in on))
+    return a.join(b, same).where((F.col("a.rid") < F.col("b.rid")) & (unequal <= CHECKS - AGREE)).select(F.col("a.rid").alias("ra"), F.col("b.rid").alias("rb"))
+
+
 def _verify(run: int, similarity: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str, set[str]] = "", set()
@@ -172,12 +185,18 @@ class NearDuplicates:
 
         firsts = sketched.where("parts IS NOT NULL")
         rows = firsts.select(F.explode("parts").alias("part"), "rid", "checks").repartition("part").groupBy("part", "rid").agg(F.first("checks").alias("checks"))
-        a, b = rows.alias("a"), rows.alias("b")
-        differ = F.col("a.checks").bitwiseXOR(F.col("b.checks"))
-        # of each two bits: equal or not
-        unequal = F.bit_count(differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-        met = a.join(b, F.col("a.part") == F.col("b.part")).where((F.col("a.rid") < F.col("b.rid")) & (unequal <= CHECKS - AGREE))
-        met = met.select(F.col("a.rid").alias("ra"), F.col("b.rid").alias("rb")).distinct()
+        hot = cut(
+            firsts.where(F.col("rid") % ONE_IN == 0).select(F.explode("parts").alias("part"), "rid").distinct().groupBy("part")
+            .agg(F.ceil(F.count(F.lit(1)) * ONE_IN / HOT).cast("int").alias("salts")).where("salts > 1")
+        )
+        met = _meet(rows, rows, ["part"])
+        if not hot.isEmpty():
+            warm = rows.join(hot, "part")
+            left = warm.withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("salts")).cast("int"))
+            right = warm.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+            cold = rows.join(hot, "part", "left_anti")
+            met = _meet(cold, cold, ["part"]).unionByName(_meet(left, right, ["part", "salt"]))
+        met = met.distinct()
 
         # one shuffle serves the removal of copies and both joins
         whole = firsts.select("rid", "digest", "id", "n", "full").repartition("rid").groupBy("rid", "digest").agg(F.min(F.struct("id", "n", "full")).alias("x")).select("rid", "digest", "x.*")

@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from lodemill.llm import neardup
 from lodemill.llm.neardup import NearDuplicates, folded, tokens
@@ -61,13 +62,16 @@ def test_pairs_and_classes(spark):
         assert classes[c].links == sum(c in p for p in got)
 
 
-def test_hot_group_of_edited_copies(spark):
-    """A third of all rows in one group, edited and not."""
+@pytest.mark.parametrize("hot, one_in", [(neardup.HOT, neardup.ONE_IN), (2, 1), (2, 3)])
+def test_hot_group_of_edited_copies(spark, monkeypatch, hot, one_in):
+    """A third of all rows in one group, edited and not, its parts split among tasks or not."""
+    monkeypatch.setattr(neardup, "HOT", hot)
+    monkeypatch.setattr(neardup, "ONE_IN", one_in)
     chooser = random.Random(3)
     base = [f"sentence number {i} of the base text with words {chooser.random()}. " for i in range(12)]
-    hot = ["".join(base[:k] + [f"edit {i}. "] + base[k:]) for i, k in enumerate([3, 5, 5, 9, 0])] + ["".join(base)] * 15
+    many = ["".join(base[:k] + [f"edit {i}. "] + base[k:]) for i, k in enumerate([3, 5, 5, 9, 0])] + ["".join(base)] * 15
     cold = [" ".join(f"{chooser.random()}" for _ in range(20)) for _ in range(40)]
-    df = spark.createDataFrame([(f"{i:03}", t) for i, t in enumerate(hot + cold)], "chunk_id string, text string")
+    df = spark.createDataFrame([(f"{i:03}", t) for i, t in enumerate(many + cold)], "chunk_id string, text string")
     assert NearDuplicates(df, "chunk_id", "text").pairs().count() == 20 * 19 // 2
 
 
