@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .skew import lookup
 
 #: Rounds between two lineage cuts of an iteration.
 EVERY = 4
@@ -16,12 +17,12 @@ def resolve(links: DataFrame, nodes: DataFrame, aliases: DataFrame, chrome: tupl
 
     A title that is both is the node. Repeated links stay, also those by alias and by title; loops stay;
     links to chrome titles and to titles that nobody has are dropped. aliases must have one row an alias.
-    Titles are met on both sides of one shuffle: a link by many pages only costs its own rows.
+    Links to a page that very many link to meet a broadcast of such pages, the others a shuffle.
     """
     usable = nodes.where(~F.col("title").isin(*chrome)) if chrome else nodes
     usable = usable.where("title IS NOT NULL").select(F.col("id").alias("dst"), "title")
     by_alias = aliases.join(usable, F.col("canonical") == F.col("title")).select(F.col("alias").alias("title"), "dst").join(nodes.select("title"), "title", "left_anti")
-    return links.join(usable.unionByName(by_alias.select("dst", "title")), "title").select("src", "dst")
+    return lookup(links, usable.unionByName(by_alias.select("dst", "title")), "title").select("src", "dst")
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, *, damping: float = 0.85, rounds: int = 30, tolerance: float = 1e-8) -> DataFrame:

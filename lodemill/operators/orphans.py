@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .skew import semi_split
+from .skew import lookup, semi_split
 
 ROUNDS = 32
 
@@ -60,5 +60,4 @@ def cascade(refs: DataFrame, pages: DataFrame, aliases: DataFrame) -> Orphans:
         lost = cut(lost.unionByName(reached).distinct())
     if fallen is None:
         return Orphans(direct, refs.where(F.lit(False)).withColumn("round", F.lit(0)))
-    hit = semi_split(refs, "name", fallen, keep_known=True)
-    return Orphans(direct, hit.join(fallen, "name"))
+    return Orphans(direct, lookup(refs, fallen, "name"))

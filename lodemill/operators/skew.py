@@ -74,3 +74,15 @@ def semi_split(df: DataFrame, key: str, allowed: DataFrame, *, keep_known: bool,
     light = df.join(F.broadcast(heavy), key, "left_anti").join(allowed, key, how)
     hot = df.join(F.broadcast(heavy.join(allowed, key, how)), key, "left_semi")
     return light.unionByName(hot)
+
+
+def lookup(df: DataFrame, right: DataFrame, key: str, how: str = "inner", *, heavy_share: float = HEAVY_SHARE) -> DataFrame:
+    """df joined (inner or left) with right, which has at most one row a key, safe when one key holds most of df.
+
+    Rows of heavy keys meet a broadcast of right's rows of those keys, at most 1/heavy_share; only the rest
+    is shuffled by key. A null key meets nothing.
+    """
+    heavy = heavy_keys(df.where(F.col(key).isNotNull()), [key], heavy_share)
+    light = df.join(F.broadcast(heavy), key, "left_anti").join(right, key, how)
+    hot = df.join(F.broadcast(heavy.join(right, key, how)), key)
+    return light.unionByName(hot.select(*light.columns))

@@ -59,6 +59,13 @@ def test_semi_split(spark, keep):
     assert got == want
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup(spark, how):
+    df = spark.createDataFrame([("hot", i) for i in range(500)] + [("warm", i) for i in range(90)] + [("cold", 1), ("odd", 2), (None, 3)], "k string, v int")
+    right = spark.createDataFrame([("hot", "x"), ("odd", "y"), ("more", "z"), (None, "n")], "k string, w string")
+    assert rows(skew.lookup(df, right, "k", how, heavy_share=0.1).select("k", "v", "w")) == rows(df.join(right, "k", how).select("k", "v", "w"))
+
+
 def test_message_key(spark):
     same = [("9:00002", "AB"), ("9:2", "ab"), ("9:+2", "aB")]
     other = [("9:2", None), ("09:2", "ab"), ("9:x", "ab"), ("9:20", "ab"), ("9", "ab"), ("9:", "ab"), ("9:2:1", "ab")]
