@@ -72,16 +72,16 @@ class Index:
         return cls(ids, points, unique, np.append(first, len(every)), item[order], at[order], seen)
 
 
-def spans(text: np.ndarray, starts: np.ndarray, stops: np.ndarray, items: list[np.ndarray], diagonals: np.ndarray, width: int, edits: int) -> np.ndarray:
-    """Banded alignment of many (text, item) pairs at once: the longest run of item characters aligned
-    with at most that many edits, on the width diagonals from diagonals on."""
+def spans(text: np.ndarray, starts: np.ndarray, stops: np.ndarray, items: list[np.ndarray], diagonals: np.ndarray, width: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Banded alignment of many (text, item) pairs at once: the longest runs of item characters aligned
+    with at most that many edits and with none, on the width diagonals from diagonals on."""
     count, longest = len(items), max((len(i) for i in items), default=0)
     sheet = np.zeros((count, longest), np.uint32)
     for r, i in enumerate(items):
         sheet[r, : len(i)] = i
     sizes = np.array([len(i) for i in items])
     band = diagonals[:, None] + np.arange(width)[None, :]
-    best = np.zeros(count, np.int64)
+    best, exact = np.zeros(count, np.int64), np.zeros(count, np.int64)
     # run[k]: item characters aligned up to here with k edits or fewer, -1 where no alignment ends
     run = [np.zeros((count, width), np.int64) for _ in range(edits + 1)]
     for i in range(longest):
@@ -99,11 +99,12 @@ def spans(text: np.ndarray, starts: np.ndarray, stops: np.ndarray, items: list[n
             now.append(new)
         run = now
         best = np.maximum(best, run[edits].max(axis=1, initial=0))
-    return best
+        exact = np.maximum(exact, run[0].max(axis=1, initial=0))
+    return best, exact
 
 
-def _scan(index: Index, texts: list[np.ndarray], w: int, q: int, edits: int) -> Iterator[tuple[int, int, int]]:
-    """(number of the text, number of the item, longest aligned run) of pairs with a run of at least w."""
+def _scan(index: Index, texts: list[np.ndarray], w: int, q: int, edits: int) -> Iterator[tuple[int, int, int, int]]:
+    """(number of the text, number of the item, longest run with edits, without) of pairs with a run of at least w."""
     sizes = np.array([len(t) for t in texts])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]) if len(texts) else np.zeros(0, int)
     joined = np.zeros(int((sizes + 1).sum()), np.uint32)  # a zero after each text is no item's character
@@ -144,9 +145,9 @@ def _scan(index: Index, texts: list[np.ndarray], w: int, q: int, edits: int) ->
         part = slice(a, a + 512)
         n = number[part]
         got = spans(joined, starts[n], starts[n] + sizes[n], [index.points[i] for i in item[part]], band[part] * unit - low, width, edits)
-        for x, y, z in zip(n, item[part], got):
+        for x, y, z, e in zip(n, item[part], *got):
             if z >= w:
-                yield int(x), int(y), int(z)
+                yield int(x), int(y), int(z), int(e)
 
 
 def _search(shared, w: int, q: int, edits: int):
@@ -155,14 +156,14 @@ def _search(shared, w: int, q: int, edits: int):
         reach = max((len(p) for p in index.points), default=0) + edits
 
         def found(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-            best: dict[tuple[int, int], int] = {}
-            for n, i, z in _scan(index, [t for _, t in held], w, q, edits):
+            best: dict[tuple[int, int], tuple[int, int]] = {}
+            for n, i, z, e in _scan(index, [t for _, t in held], w, q, edits):
                 at = held[n][0], index.ids[i]
-                best[at] = max(best.get(at, 0), z)
-            keys = list(best)
-            return pa.record_batch(
-                [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([best[k] for k in keys], pa.int32())], ["doc_id", "item_id", "matched"]
-            )
+                before = best.get(at, (0, 0))
+                best[at] = max(before[0], z), max(before[1], e)
+            rows = [(*at, *runs) for at, runs in best.items()]
+            kinds = {"doc_id": pa.int64(), "item_id": pa.int64(), "matched": pa.int32(), "exact": pa.int32()}
+            return pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds.values())], list(kinds))
 
         held: list[tuple[int, np.ndarray]] = []
         size = 0
@@ -185,8 +186,9 @@ def _search(shared, w: int, q: int, edits: int):
 
 
 def leaks(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, q: int = Q, edits: int = 0) -> DataFrame:
-    """doc_id, item_id, matched: pairs where at least window consecutive item characters stand in the
-    text with at most that many edits; matched is the longest such run.
+    """doc_id, item_id, matched, exact: pairs where at least window consecutive item characters stand in
+    the text with at most that many edits; matched is the longest such run, exact the longest without edits
+    in the bands that were aligned. A run of window characters without edits is always among them.
 
     items: item_id and text, held-out material that is small beside the corpus. It is read to the driver
     and broadcast in blocks of at most ITEM_GRAMS characters; every block is searched in all texts, so
@@ -210,6 +212,6 @@ def leaks(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str =
     parts = None
     for ids, texts in blocks:
         shared = spark.sparkContext.broadcast(Index.of(ids, texts, q))
-        part = rows.mapInArrow(_search(shared, window, q, edits), "doc_id long, item_id long, matched int")
+        part = rows.mapInArrow(_search(shared, window, q, edits), "doc_id long, item_id long, matched int, exact int")
         parts = part if parts is None else parts.unionByName(part)
-    return parts.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
+    return parts.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.max("exact").alias("exact"))

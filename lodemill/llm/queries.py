@@ -9,7 +9,7 @@ from ..plans.tables import link_entries
 from ..session import table, tokenizer_dir
 from .body import main_pieces
 from .frequent import frequent_values
-from .leaks import leaks
+from .leaks import WINDOW, leaks
 from .neardup import NearDuplicates
 from .repetition import LEAST_WINDOWS, SHARE, profiles
 from .tokens import encode
@@ -50,12 +50,13 @@ def p8_ids(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
-    """Documents and the items of which they hold at least 50 consecutive characters."""
-    return leaks(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id")
+    """Documents and the items of which they hold at least 50 consecutive characters: of the passages
+    that p9_edited finds those with such a run without edits."""
+    return p9_edited(spark, root).where(F.col("exact") >= WINDOW).select("doc_id", "item_id")
 
 
 def p9_edited(spark: SparkSession, root: str) -> DataFrame:
-    """The same with up to two edits in the passage, and how much of the item it holds."""
+    """Documents and the items of which they hold 50 characters with up to two edits, and how many."""
     return leaks(table(spark, root, "documents"), table(spark, root, "eval_items"), edits=P9_EDITS)
 
 
