@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,21 +17,26 @@ from .text import breadcrumb, chunk_key, content_key
 TARGET, OVERLAP, LEAST = 850, 128, 200
 MOST = TARGET * 3 // 2
 
+#: Where paragraphs and sentences end (fixed values).
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _SENTENCE = re.compile(r"(?<=[.!?。」』\n])\s+")
 
 
-def _pack(units: Iterable[str], room: int, glue: str) -> Iterator[str]:
-    """Units joined by glue as long as they fit; one that is too long stays whole."""
-    held = ""
+def _fill(units: Iterable[str], room: int, glue: str, overlap: int = 0) -> Iterator[str]:
+    """Units joined by glue (one character) as long as they fit into room; one that is too long stays
+    whole. What follows a full piece begins with that piece's last overlap characters and a space."""
+    parts: list[str] = []
+    size = 0
     for unit in units:
-        if held and len(held) + len(glue) + len(unit) > room:
-            yield held
-            held = unit
-        else:
-            held = (held + glue + unit).strip() if held else unit.strip() if glue == " " else unit
-    if held:
-        yield held
+        if parts and size + 1 + len(unit) > room:
+            full = glue.join(parts)
+            yield full
+            parts.clear()
+            unit = (full[-overlap:] + " " + unit).lstrip() if overlap else unit
+        size = size + 1 + len(unit) if parts else len(unit)
+        parts.append(unit)
+    if parts:
+        yield glue.join(parts)
 
 
 def split_long(text: str, target: int = TARGET, overlap: int = OVERLAP) -> list[str]:
@@ -38,32 +44,36 @@ def split_long(text: str, target: int = TARGET, overlap: int = OVERLAP) -> list[
     first begins with the last overlap characters of the one before and a space."""
     if len(text) <= target:
         return [text]
-    units: list[str] = []
-    for paragraph in filter(None, (p.strip() for p in _PARAGRAPH.split(text))):
-        units.extend([paragraph] if len(paragraph) <= target else _pack(_SENTENCE.split(paragraph), target, " "))
-    pieces: list[str] = []
-    held = ""
-    for unit in units:
-        if held and len(held) + 1 + len(unit) > target:
-            pieces.append(held)
-            held = (held[-overlap:] + " " + unit).strip() if overlap else unit
-        else:
-            held = (held + "\n" + unit).strip() if held else unit
-    return [*pieces, held] if held else pieces
-
-
-def pieces_of(sections: list[tuple[str | None, str, str]]) -> list[tuple[str | None, str, str]]:
-    """(section, path, text) pieces of a document's (section, path, text) sections; a piece under LEAST
-    characters joins the one before if that is of the same section and both fit into MOST."""
-    out: list[tuple[str | None, str, str]] = []
+
+    def units() -> Iterator[str]:
+        for paragraph in _PARAGRAPH.split(text):
+            if paragraph := paragraph.strip():
+                yield from (paragraph,) if len(paragraph) <= target else _fill(_SENTENCE.split(paragraph), target, " ")
+
+    return list(_fill(units(), target, "\n", overlap))
+
+
+@dataclass
+class Piece:
+    section: str | None
+    path: str
+    text: str
+
+    def takes(self, section: str | None, text: str) -> bool:
+        """Whether a short text of a section joins this piece."""
+        return len(text) < LEAST and section == self.section and len(self.text) + len(text) <= MOST
+
+
+def pieces_of(sections: list[tuple[str | None, str, str]]) -> list[Piece]:
+    """Pieces of a document's (section, path, text) sections; a text under LEAST characters joins the piece
+    before if that is of the same section and both fit into MOST."""
+    out: list[Piece] = []
     for section, path, text in sections:
-        if not text.strip():
-            continue
-        for piece in split_long(text):
-            if out and len(piece) < LEAST and out[-1][0] == section and len(out[-1][2]) + len(piece) <= MOST:
-                out[-1] = (section, out[-1][1], out[-1][2] + "\n" + piece)
+        for part in split_long(text) if text.strip() else ():
+            if out and out[-1].takes(section, part):
+                out[-1].text += "\n" + part
             else:
-                out.append((section, path, piece))
+                out.append(Piece(section, path, part))
     return out
 
 
@@ -71,8 +81,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, titles, seqs, ids, paths, bodies = [], [], [], [], [], []
         for key, title, sections in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            for seq, (section, path, body) in enumerate(pieces_of([(s["id"], s["path"] or "", s["text"] or "") for s in sections or []])):
-                keys.append(key), titles.append(title), seqs.append(seq), ids.append(section), paths.append(path.split("\x1f") if path else []), bodies.append(body)
+            for seq, piece in enumerate(pieces_of([(s["id"], s["path"] or "", s["text"] or "") for s in sections or []])):
+                keys.append(key), titles.append(title), seqs.append(seq), ids.append(piece.section), bodies.append(piece.text)
+                paths.append(piece.path.split("\x1f") if piece.path else [])
         s = pa.string()
         yield pa.record_batch(
             [pa.array(keys, pa.int64()), pa.array(titles, s), pa.array(seqs, pa.int32()), pa.array(ids, s), pa.array(paths, pa.list_(s)), pa.array(bodies, s)],

@@ -33,6 +33,7 @@ NO_OBJECTS = frozenset((
 ))
 MOST_FACTS, LONGEST_VALUE = 60, 200
 
+#: The site's markup of headings, titles, times, links and facts (fixed values).
 _HEADING = re.compile(r"<(h[1-6])\b[^>]*>(.*?)</\1\s*>", re.S | re.I)
 _TITLE = re.compile(r"<h1\b[^>]*>(.*?)</h1\s*>", re.S | re.I)
 _TIME = re.compile(r'<time[^>]*\bdatetime="([^"]+)"', re.I)

@@ -90,6 +90,7 @@ def without_control(text: Column) -> Column:
     return F.regexp_replace(text, CONTROL, "")
 
 
+#: Elements without text, folding boxes, tool links and noise lines of the site (fixed values).
 _DROPPED = r"(?is)<(script|style|svg|noscript)\b[^>]*>.*?</\1\s*>"
 _FOLDED = r"(?s)<details\b[^>]*>\s*<summary\b[^>]*>(?:(?!</summary>).)*?(?:펼치기|접기).*?</details\s*>"
 _TOOLS = r"""(?is)<a\b[^>]*\bhref=['"](?:/edit/|/discuss/|/history/|/member/|/backlink/|/title_history/|/RecentChanges|/RecentDiscuss|/Search|/action/|/w/%EB%B6%84%EB%A5%98:|/w/분류:)[^'"]*['"][^>]*>.*?</a\s*>"""

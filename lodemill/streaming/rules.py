@@ -42,16 +42,13 @@ def fetch_outcomes(events: DataFrame) -> DataFrame:
 
 
 def breaker_step(state: dict, event: dict) -> tuple[dict, tuple]:
-    """state: the failures of the last minute and until when the breaker is open. Enough failures open it
-    and are forgotten; a success forgets them too."""
+    """state: the times of the last failures, at most FAILURES, and until when the breaker is open. It opens
+    if the oldest of that many is within the window; then, and by a success, they are forgotten."""
     now, recent, until = event["ts"], state["recent"], state["until"]
     open_now = until is not None and now < until
-    if event["kind"] == "failed":
-        recent = [t for t in recent if now - t < WINDOW] + [now]
-        if len(recent) >= FAILURES:
-            until, recent = now + PAUSE, []
-    else:
-        recent = []
+    recent = [*recent, now][-FAILURES:] if event["kind"] == "failed" else []
+    if len(recent) == FAILURES and now - recent[0] < WINDOW:
+        until, recent = now + PAUSE, []
     return {"recent": recent, "until": until}, (event["key"], event["seq"], open_now, until)
 
 

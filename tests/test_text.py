@@ -98,7 +98,7 @@ def test_split_long():
 
 
 def test_pieces_merge():
-    assert [p[2] for p in chunking.pieces_of([("s", "", "a" * 600), ("s", "", "b" * 199), ("s", "", "c" * 200), ("t", "", "d"), (None, "", "e"), (None, "", "f"), ("t", "", " ")])] == [
+    assert [p.text for p in chunking.pieces_of([("s", "", "a" * 600), ("s", "", "b" * 199), ("s", "", "c" * 200), ("t", "", "d"), (None, "", "e"), (None, "", "f"), ("t", "", " ")])] == [
         "a" * 600 + "\n" + "b" * 199, "c" * 200, "d", "e\nf",
     ]
 
