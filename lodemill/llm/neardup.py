@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -149,19 +149,23 @@ def _meet(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
     return a.join(b, same).where((F.col("a.rid") < F.col("b.rid")) & (unequal <= CHECKS - AGREE)).select(F.col("a.rid").alias("ra"), F.col("b.rid").alias("rb"))
 
 
+#: Token sets of texts that a task keeps while it verifies; a cluster's texts come again and again.
+SETS = 512
+
+
 def _verify(run: int, similarity: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[str, set[str]] = "", set()
+        @lru_cache(SETS)
+        def runs(text: str) -> frozenset[str]:
+            flat = folded(text)
+            return frozenset(flat[i : i + run] for i in range(len(flat) - run + 1))
+
         for batch in batches:
             keep = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if a != last[0]:
-                    flat = folded(a)
-                    last = a, {flat[i : i + run] for i in range(len(flat) - run + 1)}
-                flat = folded(b)
-                other = {flat[i : i + run] for i in range(len(flat) - run + 1)}
-                both = len(last[1] & other)
-                keep.append(both >= similarity * (len(last[1]) + len(other) - both) - 1e-9)
+                one, other = runs(a), runs(b)
+                both = len(one & other)
+                keep.append(both >= similarity * (len(one) + len(other) - both) - 1e-9)
             yield pa.record_batch([batch.column(0), batch.column(1)], ["da", "db"]).filter(pa.array(keep, pa.bool_()))
 
     return work
@@ -223,10 +227,11 @@ class NearDuplicates:
     def classes(self) -> DataFrame:
         """id, class_id, links: the class (the digest of its least member) and number of linked ids of every
         id that has a run of characters; copies are counted, not paired."""
+        links = cut(self.links)  # three uses, verified once
         sizes = self.members.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
-        hexed = self.links.select(F.hex("da").alias("a"), F.hex("db").alias("b"))
+        hexed = links.select(F.hex("da").alias("a"), F.hex("db").alias("b"))
         roots = components(hexed)
-        ends = self.links.unionByName(self.links.select(F.col("db").alias("da"), F.col("da").alias("db")))
+        ends = links.unionByName(links.select(F.col("db").alias("da"), F.col("da").alias("db")))
         others = ends.join(sizes.withColumnRenamed("digest", "db"), "db").groupBy("da").agg(F.sum("copies").alias("others")).withColumnRenamed("da", "digest")
         per = sizes.join(others, "digest", "left").select("digest", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.hex("digest").alias("node"))
         per = per.join(roots, "node", "left").select("digest", "links", F.coalesce("root", "node").alias("class_id"))
