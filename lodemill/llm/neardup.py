@@ -7,8 +7,8 @@ never above the size of the sets' symmetric difference, which for a similarity o
 
 At t = 0.6 that bound is a quarter of all tokens, so cutting the plain sketch into parts of which one
 must be equal would need more parts than there are tokens. The pigeonhole join therefore works on a
-parity sketch of a min-wise sample: SAMPLES tokens drawn by as many hash functions, four of them XORed
-into each of PARTS parts. Texts of similarity s agree in a part with probability s**4, so a pair at the
+parity sketch of a min-wise sample: tokens drawn by as many hash functions, four of them XORed into each
+of PARTS parts. Texts of similarity s agree in a part with probability s**4, so a pair at the
 threshold itself meets with 0.996 and one at 0.7 with 0.99998. What meets is tested by two bits of
 CHECKS further samples, by the full sketch's bound and last exactly.
 """
@@ -48,7 +48,7 @@ _FLIP = _random.integers(0, 1 << 32, _SAMPLES, dtype=np.uint64).astype(np.uint32
 _TIMES = (_random.integers(0, 1 << 32, _SAMPLES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ODD = _random.integers(0, 1 << 63, PARTS * IN_PART, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_PART = (np.arange(PARTS, dtype=np.uint64) << np.uint64(43)) * np.uint64(1)
+_PART = np.arange(PARTS, dtype=np.uint64) << np.uint64(43)
 _PAIRS = np.uint64(4) ** np.arange(CHECKS, dtype=np.uint64)
 
 
@@ -121,7 +121,7 @@ def _sketches(run: int):
                 digest = hashlib.md5(flat.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
                 ids.append(key)
                 digests.append(digest)
-                rids.append(int.from_bytes(digest[:6], "big"))
+                rids.append(int.from_bytes(digest[:8], "big") >> 1)
                 if digest in seen:
                     sizes.append(None), checks.append(None), first.append(False)
                     continue
@@ -174,7 +174,7 @@ def _verify(run: int, similarity: float):
 class NearDuplicates:
     """Links between texts whose similarity (Jaccard, of runs of characters) is at least similarity.
 
-    df: id and text. Texts without a run of that length, nulls and empty ones among them, are linked with
+    df: id and text; an id must not stand with two texts. Texts without a run of that length, nulls and empty ones among them, are linked with
     nothing. Copies (equal folded texts) are sketched and compared once. links holds pairs of digests,
     members the ids of each digest; pairs() expands them, classes() doesn't.
     """

@@ -82,4 +82,20 @@ SQL = {
     "p2_counts": f"""
         SELECT value AS link_value, n FROM (SELECT value, count(*) AS n, sum(count(*)) OVER () AS total FROM ({_LINKS}) GROUP BY value)
         WHERE n >= 0.001 * total""",
+    "p7_found": """
+        WITH t AS (SELECT chunk_id, lower(regexp_replace(text, '[ \\t\\r\\n\\x{A0}\\x{200B}]', '', 'g')) AS s FROM chunks),
+             g AS (SELECT DISTINCT chunk_id, unnest(list_transform(range(1, length(s) - 3), lambda i: substr(s, i, 5))) AS g FROM t WHERE length(s) >= 5),
+             n AS (SELECT chunk_id, count(*) AS n FROM g GROUP BY chunk_id),
+             j AS (SELECT a.chunk_id AS ca, b.chunk_id AS cb, count(*) AS k FROM g a JOIN g b ON a.g = b.g AND a.chunk_id < b.chunk_id GROUP BY ALL)
+        SELECT ca AS chunk_a, cb AS chunk_b FROM j JOIN n x ON x.chunk_id = ca JOIN n y ON y.chunk_id = cb WHERE k * 5 >= 3 * (x.n + y.n - k)""",
+    "p9_found": """
+        WITH d AS (SELECT doc_id, regexp_replace(lower(nfc_normalize(text)), '[^\\p{L}\\p{N}]', '', 'g') AS s FROM documents),
+             e AS (SELECT item_id, regexp_replace(lower(nfc_normalize(text)), '[^\\p{L}\\p{N}]', '', 'g') AS s FROM eval_items),
+             a AS (SELECT doc_id, unnest(list_transform(range(1, length(s) - 48), lambda i: substr(s, i, 50))) AS g FROM d WHERE length(s) >= 50),
+             b AS (SELECT item_id, unnest(list_transform(range(1, length(s) - 48), lambda i: substr(s, i, 50))) AS g FROM e WHERE length(s) >= 50)
+        SELECT DISTINCT doc_id, item_id FROM a JOIN b USING (g)""",
+    "p10_found": """
+        WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+             x AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM w WHERE len(w) >= 24)
+        SELECT doc_id FROM (SELECT doc_id, count(*) AS n, count(DISTINCT g) AS d FROM x GROUP BY doc_id) WHERE (n - d) * 10 >= n * 3""",
 }
