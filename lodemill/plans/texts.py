@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import chunking, pages, text
 from ..functions.titles import name
+from ..functions.values import CATEGORY_NOISE, NAMESPACES, NAVIGATION
 from ..operators import triples
 from .registry import Registry, Tables
 from .upkeep import _NAME
@@ -161,7 +162,7 @@ def t03(t: Tables):
     return pages.per_page(t("extracted_docs"), "doc_id", "link_html", lambda s: [(c,) for c in pages.categories(s)], "category string")
 
 
-_SPACES = "분류|틀|파일|사용자|나무위키|휴지통|투표|토론|위키운영|템플릿"
+_SPACES = "|".join(n.rstrip(":") for n in NAMESPACES)
 
 
 @query("T04_links", f"""SELECT DISTINCT doc_id, title FROM (SELECT doc_id, url_decode(substr(h, 4)) AS title FROM (SELECT doc_id, unnest(regexp_extract_all(link_html, 'href=[''"](/w/[^''"#]+)[''"]', 1)) AS h FROM extracted_docs) WHERE NOT contains(h, '?'))
@@ -206,7 +207,7 @@ def t09(t: Tables):
     return triples.title_relations(t("documents")).select("subject", "predicate", "object")
 
 
-_CLEAN = "c <> '' AND NOT regexp_matches(c, '^(※|나무위키|문서가 |토론|편집)') AND NOT contains(c, '둘러보기')"
+_CLEAN = f"c <> '' AND NOT regexp_matches(c, '^({'|'.join(CATEGORY_NOISE)})') AND NOT contains(c, '{NAVIGATION}')"
 
 
 @query("T10_category_relations", f"SELECT title AS subject, 'INSTANCE_OF' AS predicate, c AS object FROM (SELECT title, unnest(categories) AS c FROM documents) WHERE {_CLEAN}")
