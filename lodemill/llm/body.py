@@ -15,9 +15,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: Tags that cut a text (fixed values).
 CUTTING = frozenset(
     "html head body title p div ul ol li table thead tbody tr td th h1 h2 h3 h4 h5 h6 br hr nav header footer aside section article main details "
@@ -39,8 +41,8 @@ _COMMA = re.compile("[,，、،]")
 #: Words with which a line that lists the page's categories begins (fixed values).
 _CATEGORY = re.compile(r"^(?:분류|카테고리|categor(?:y|ies)|kategorien?)\s*:", re.I)
 
-#: A text of at most CHROME_CHARS that stands after and before CHROME_PLACES different texts is furniture.
-CHROME_CHARS, CHROME_PLACES = 200, 6
+#: A text of at most CHROME_CHARS on CHROME_SHARE % of its source's pages that stands after and before CHROME_PLACES different texts is furniture.
+CHROME_CHARS, CHROME_PLACES, CHROME_SHARE = 200, 6, 1
 
 
 @dataclass
@@ -232,71 +234,81 @@ def _short(text: str) -> int:
 
 def _walk(fields: list[str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each page and field: short kept texts outside lists, with hashes of their neighbours."""
+        """Of each page and field: the kept pieces; text for those that furniture may take out. Of these, the
+        first of a text on a page counts: it has hashes of its neighbours."""
         for batch in batches:
-            texts: list[str] = []
-            before: list[int] = []
-            after: list[int] = []
-            for values in zip(*(batch.column(k).to_pylist() for k in range(len(fields)))):
+            out: list[list] = [[] for _ in range(7)]
+            for key, site, *values in zip(*(batch.column(k).to_pylist() for k in range(len(fields) + 2))):
                 met: set[str] = set()
-                for source in values:
+                for name, source in zip(fields, values):
                     if not source:
                         continue
                     pieces, first = parse(source)
+                    title = next((k for k, p in enumerate(pieces) if p.node.name == "h1"), None)
                     for k in _kept(pieces, first):
                         piece = pieces[k]
-                        if len(piece.text) > CHROME_CHARS or piece.anchored or piece.node.name == "h1" or piece.text in met or _listed(piece):
-                            continue
-                        met.add(piece.text)
-                        texts.append(piece.text)
-                        before.append(_short(pieces[k - 1].text if k else ""))
-                        after.append(_short(pieces[k + 1].text if k + 1 < len(pieces) else ""))
-            yield pa.record_batch([pa.array(texts, pa.string()), pa.array(before, pa.int64()), pa.array(after, pa.int64())], ["text", "before", "after"])
+                        text = before = after = None
+                        if len(piece.text) <= CHROME_CHARS and k != title and not piece.anchored and not _listed(piece):
+                            text = piece.text
+                            if piece.node.name != "h1" and text not in met:
+                                met.add(text)
+                                before = _short(pieces[k - 1].text if k else "")
+                                after = _short(pieces[k + 1].text if k + 1 < len(pieces) else "")
+                        for column, value in zip(out, (key, site, name, k, text, before, after)):
+                            column.append(value)
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "site", "field_name", "piece_no", "text", "before", "after"])
 
     return work
 
 
-def _pick(fields: list[str], shared):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        furniture = shared.value
-        for batch in batches:
-            ids, names, numbers = [], [], []
-            keys = batch.column(0).to_pylist()
-            for k, name in enumerate(fields, 1):
-                for key, source in zip(keys, batch.column(k)):
-                    found = main_body(source.as_py(), furniture)
-                    ids += [key] * len(found)
-                    names += [name] * len(found)
-                    numbers += found
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(names, pa.string()), pa.array(numbers, pa.int32())], ["doc_id", "field_name", "piece_no"])
+def _sites(pages: DataFrame, site: str | None) -> Column:
+    return (F.coalesce(F.col(site).cast("string"), F.lit("")) if site else F.lit("")).alias("site")
 
-    return work
+
+def _walked(pages: DataFrame, key: Column, fields: list[str], site: str | None) -> DataFrame:
+    kinds = "doc_id long, site string, field_name string, piece_no int, text string, before long, after long"
+    return cut(pages.select(key.cast("long").alias("doc_id"), _sites(pages, site), *fields).mapInArrow(_walk(fields), kinds))
+
+
+def _furniture(walked: DataFrame, pages: DataFrame, site: str | None) -> DataFrame:
+    seen = walked.where("before IS NOT NULL").select("site", "text", "before", "after")
+    sizes = pages.select(_sites(pages, site)).groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+    per = seen.groupBy("site", "text").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    common = cut(per.join(sizes, "site").where(F.col("n") * 100 >= F.col("pages") * CHROME_SHARE).select("site", "text"))
+    held = seen.join(common.select("text").distinct(), "text", "left_semi").join(common.withColumn("common", F.lit(True)), ["site", "text"], "left")
+    held = cut(held.withColumn("common", F.coalesce("common", F.lit(False))))
+    own = held.groupBy("site", "text").agg(F.count(F.lit(1)).alias("here"), F.least(F.countDistinct("before"), F.countDistinct("after")).alias("own"))
+    own = own.join(sizes, "site").where(F.col("here") * 100 >= F.col("pages") * CHROME_SHARE)
+    pooled = held.groupBy("text").agg(
+        F.least(F.countDistinct(F.when(F.col("common"), F.col("before"))), F.countDistinct(F.when(F.col("common"), F.col("after")))).alias("places"),
+        F.count_if("common").alias("strong"), F.count(F.lit(1)).alias("n"),
+    )
+    told = (F.col("own") >= CHROME_PLACES) | (F.col("places") >= CHROME_PLACES) & (F.col("strong") * 2 >= F.col("n"))
+    return own.join(pooled, "text").where(told).select("site", "text")
 
 
-def furniture_texts(pages: DataFrame, fields: list[str]) -> DataFrame:
-    """text: short texts of the pages' bodies that stand after many different texts and before many.
+def furniture_texts(pages: DataFrame, fields: list[str], site: str | None = None) -> DataFrame:
+    """site, text: short texts of the pages' bodies that are furniture on the pages of a site.
 
-    A text counts once a page. Copies of a page don't make its sentences furniture, since their
-    neighbours are the same, nor does a neighbour that is edited in many ways on one side. It takes
-    CHROME_PLACES different neighbours on either side, and in a large corpus as many as a 5,000th of its
-    pages, so there are never more than 5,000 times the texts of a mean page.
+    site: the column that names a page's source; without it all pages are one source's. A text must stand
+    on CHROME_SHARE % of the source's own pages, however many pages there are, and after and before
+    CHROME_PLACES different texts: on this source's pages, or on those of all sources where it has that
+    share on more than one page, if they are at least half of the pages that hold it. A text counts once a page. Copies of
+    a page don't make its sentences furniture, since their neighbours are the same, nor does a neighbour
+    that is edited in many ways on one side.
     """
-    seen = pages.select(*fields).mapInArrow(_walk(fields), "text string, before long, after long")
-    spread = seen.groupBy("text").agg(F.least(F.countDistinct("before"), F.countDistinct("after")).alias("places")).withColumn("one", F.lit(1))
-    count = pages.agg(F.count(F.lit(1)).alias("pages"), F.lit(1).alias("one"))
-    return spread.where(F.col("places") >= CHROME_PLACES).join(F.broadcast(count), "one").where(F.col("places") * 5000 >= F.col("pages")).select("text")
+    return _furniture(_walked(pages, F.lit(None), list(fields), site), pages, site)
 
 
-def main_pieces(pages: DataFrame, key: str = "doc_id", fields: tuple[str, ...] = ("body_html", "link_html")) -> DataFrame:
+def main_pieces(pages: DataFrame, key: str = "doc_id", fields: tuple[str, ...] = ("body_html", "link_html"), site: str | None = None) -> DataFrame:
     """doc_id, field_name, piece_no of the pieces that belong to the main body of each field of each page.
 
     Pieces are numbered from 0 after the tags in CUTTING have cut the text, comments and DROPPED elements
     are gone, entities are decoded, white space is made single and empty pieces are left out. A null or
-    empty field has no piece. Pages may be parts of pages, with tags unclosed or in capitals.
+    empty field has no piece. Pages may be parts of pages, with tags unclosed or in capitals. site: see
+    furniture_texts. Pages are parsed once; furniture meets their pieces in a join.
     """
-    names = list(fields)
-    texts = frozenset(r[0] for r in furniture_texts(pages, names).collect())  # bounded, see there
-    shared = pages.sparkSession.sparkContext.broadcast(texts)
-    return pages.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), *names).mapInArrow(
-        _pick(names, shared), "doc_id long, field_name string, piece_no int"
-    )
+    walked = _walked(pages, F.col(key), list(fields), site)
+    own = walked.where("text IS NULL").unionByName(walked.where("text IS NOT NULL").join(_furniture(walked, pages, site), ["site", "text"], "left_anti"))
+    return own.where("doc_id IS NOT NULL").select("doc_id", "field_name", "piece_no")

@@ -30,7 +30,7 @@ def p2_counts(spark: SparkSession, root: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     """Pieces of the main body of every page."""
-    return main_pieces(table(spark, root, "extracted_docs"))
+    return main_pieces(table(spark, root, "extracted_docs"), site="source")
 
 
 def p7_found(spark: SparkSession, root: str) -> DataFrame:

@@ -55,3 +55,17 @@ def test_furniture_and_table(spark):
     assert all("Share it" not in [body.parse(PAGE)[0][r.piece_no].text] for r in got if r.doc_id == 100)
     assert sum(r.doc_id == 3 for r in got) == 12 and sum(r.doc_id == 100 for r in got) == 10
     assert body.main_pieces(df.limit(0)).count() == 0
+
+
+def test_furniture_goes_by_the_share_of_the_source(spark):
+    page = "<div><p>Begin {0}, and more.</p><p>{1}</p><p>End {0}, and more.</p></div>"
+    small = [(i, "a", page.format(i, "Join today")) for i in range(7)]
+    genuine = [(1000 + i, "b", page.format(1000 + i, "It is a village." if i < 8 else f"Own {i}.")) for i in range(1000)]
+    other = [(10_000 + i, "c", "<p>x</p>") for i in range(36_000)]
+    few = [(100_000 + i, f"s{i}", page.format(100_000 + i, "It is a village.")) for i in range(9)]
+    schema = "doc_id long, source string, body_html string"
+    for pages in (small + genuine, small + genuine + few + other):  # the same, however many other pages there are
+        df = spark.createDataFrame(pages, schema)
+        assert [tuple(r) for r in body.furniture_texts(df, ["body_html"], "source").collect()] == [("a", "Join today")]
+        got = body.main_pieces(df, fields=("body_html",), site="source").where("piece_no = 1 AND (doc_id < 10000 OR doc_id >= 100000)")
+        assert {r.doc_id for r in got.collect()} == {p[0] for p in pages if p[1] not in "ac"}
