@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from ..session import cut
 from .skew import lookup, semi_split
 
-ROUNDS = 32
+#: Rounds between two lineage cuts of the aliases that have fallen.
+EVERY = 8
 
 
 @dataclass
@@ -34,7 +36,7 @@ def cascade(refs: DataFrame, pages: DataFrame, aliases: DataFrame) -> Orphans:
     name and target, a name that is provided as long as its target is. A reference is orphaned directly
     if its name is neither a page's nor an alias's; an alias all of whose targets are orphaned is
     orphaned too, and so are the references to it. Aliases that only lead to each other are provided.
-    A null name counts as unknown.
+    A null name counts as unknown. A round walks one alias; they go on until no further alias falls.
     """
     pages = pages.select("name").where("name IS NOT NULL").distinct()
     aliases = aliases.select("name", "target").where("name IS NOT NULL").distinct()
@@ -48,7 +50,7 @@ def cascade(refs: DataFrame, pages: DataFrame, aliases: DataFrame) -> Orphans:
     )
     needed = weak.groupBy("name").agg(F.count(F.lit(1)).alias("targets"))
     fallen: DataFrame | None = None
-    for number in range(1, ROUNDS + 1):
+    for number in count(1):
         down = lost.groupBy("name").agg(F.count(F.lit(1)).alias("lost")).join(needed, "name").where("lost >= targets").select("name")
         if fallen is not None:
             down = down.join(fallen, "name", "left_anti")
@@ -56,6 +58,8 @@ def cascade(refs: DataFrame, pages: DataFrame, aliases: DataFrame) -> Orphans:
         if down.isEmpty():
             break
         fallen = down if fallen is None else fallen.unionByName(down)
+        if number % EVERY == 0:
+            fallen = cut(fallen)
         reached = weak.alias("w").join(down.alias("d"), F.col("w.target") == F.col("d.name"), "left_semi")
         lost = cut(lost.unionByName(reached).distinct())
     if fallen is None:

@@ -160,3 +160,12 @@ def test_cascade(spark):
     assert {tuple(r) for r in found.report().collect()} == {("t", "2026-01", "direct", 2), ("t", "2026-01", "inherited", 5)}
     empty = orphans.cascade(refs.limit(0), pages.limit(0), aliases.limit(0))
     assert empty.direct.count() == 0 and empty.inherited.count() == 0
+
+
+def test_cascade_follows_any_number_of_redirects(spark):
+    chain = [(f"a{k:02}", f"a{k - 1:02}" if k else "nowhere") for k in range(40)]
+    pages = spark.createDataFrame([("p",)], "name string")
+    refs = spark.createDataFrame([("t", "2026-01", "a39"), ("t", "2026-01", "a33"), ("t", "2026-01", "p")], "table_name string, period string, name string")
+    found = orphans.cascade(refs, pages, spark.createDataFrame(chain, "name string, target string"))
+    assert {(r.name, r["round"]) for r in found.inherited.collect()} == {("a39", 40), ("a33", 34)}
+    assert {tuple(r) for r in found.report().collect()} == {("t", "2026-01", "inherited", 2)}
