@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +101,109 @@ def sparse_topk(terms: DataFrame, postings: DataFrame, k: int) -> DataFrame:
     return top_per_group(scores, ["qid"], [F.desc("score"), F.col("id")], k)
 
 
+def _scan(shared, k: int | None):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, starts, places, weights, ids, gold = shared.value
+        best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))  # question's place, id, score
+        least, above = np.full(len(ids), -np.inf), np.zeros(len(ids), np.int64)
+        for batch in batches:
+            own = np.asarray(batch.column(0).to_pylist(), np.int64)
+            held = batch.column(1)
+            sizes = pc.fill_null(pc.list_value_length(held), 0).to_numpy(zero_copy_only=False)
+            codes = pc.fill_null(pc.index_in(held.flatten(), value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            rows = np.repeat(np.arange(len(own)), sizes)
+            cells, times = np.unique((rows * len(words) + codes)[codes >= 0], return_counts=True)
+            rows, codes = np.divmod(cells, len(words))
+            ends = np.searchsorted(rows, np.arange(len(own) + 1))
+            per = max(1, (BLOCK_BYTES // 8) // max(1, len(ids)))
+            for first in range(0, len(own), per):
+                some = slice(ends[first], ends[min(first + per, len(own))])
+                count = min(per, len(own) - first)
+                n = starts[codes[some] + 1] - starts[codes[some]]
+                scores = np.zeros(count * len(ids))
+                # in pieces, since a frequent token stands in most questions
+                for piece in np.split(np.arange(len(n)), np.searchsorted(np.cumsum(n), np.arange(BLOCK_BYTES // 8, n.sum(), BLOCK_BYTES // 8))):
+                    m = n[piece]
+                    at = np.repeat(starts[codes[some][piece]] - np.cumsum(m) + m, m) + np.arange(m.sum())
+                    cell = np.repeat(rows[some][piece] - first, m) * len(ids) + places[at]
+                    scores += np.bincount(cell, weights[at] * np.repeat(times[some][piece], m), len(scores))
+                met = scores > 0
+                scores = np.round(scores, PLACES).reshape(count, len(ids))
+                if k is None:
+                    mine = own[first : first + count, None]
+                    above += (met.reshape(scores.shape) & (mine != ids) & ((scores > gold) | (scores == gold) & (mine < ids))).sum(0)
+                    continue
+                row, place = np.nonzero(met.reshape(scores.shape) & (scores >= least))
+                place, keys, score = (np.concatenate(x) for x in zip(best, (place, own[first + row], scores[row, place])))
+                order = np.lexsort((keys, -score, place))
+                place, keys, score = place[order], keys[order], score[order]
+                rank = np.arange(len(place)) - np.searchsorted(place, place)
+                best = tuple(x[rank < k] for x in (place, keys, score))
+                least[place[rank == k - 1]] = score[rank == k - 1]
+        if k is None:
+            yield pa.record_batch([pa.array(ids), pa.array(above)], ["qid", "above"])
+        else:
+            yield pa.record_batch([pa.array(ids[best[0]]), pa.array(best[1]), pa.array(best[2])], ["qid", "id", "score"])
+
+    return work
+
+
+def _scanned(terms: DataFrame, texts: DataFrame, k: int | None, gold: DataFrame | None = None) -> DataFrame | None:
+    """What _scan gives of the texts (id, words) for blocks of questions."""
+    golds = terms.select("qid").distinct().join(gold.select("qid", "score"), "qid", "left") if gold is not None else terms.select("qid").distinct().withColumn("score", F.lit(None).cast("double"))
+    asked = terms.groupBy("qid").agg(F.collect_list(F.struct("token", "weight")).alias("terms")).join(golds, "qid")
+    found, block, room = None, [], BLOCK_BYTES
+    sent = asked.sparkSession.sparkContext.broadcast
+    kind = "qid long, above long" if k is None else "qid long, id long, score double"
+
+    def search() -> DataFrame:
+        words: dict[str, int] = {}
+        flat = sorted((words.setdefault(token, len(words)), place, weight) for place, row in enumerate(block) for token, weight in row[1])
+        codes, places, weights = (np.array(x) for x in zip(*flat))
+        starts = np.searchsorted(codes, np.arange(len(words) + 1))
+        ids = np.array([row[0] for row in block], np.int64)
+        golds = np.array([np.inf if row[2] is None else row[2] for row in block])
+        part = texts.select("id", "words").mapInArrow(_scan(sent((pa.array(words, pa.string()), starts, places, weights, ids, golds)), k), kind)
+        return part if found is None else found.unionByName(part)
+
+    for row in asked.toLocalIterator():
+        if block and room < 64 * len(row[1]):
+            found, block, room = search(), [], BLOCK_BYTES
+        block.append(row)
+        room -= 64 * len(row[1])
+    return search() if block else found
+
+
+def word_lists(texts: DataFrame, id: str = "id", text: str = "text") -> DataFrame:
+    """id, words: letters' runs of each text in small letters, as tokens() counts them."""
+    return texts.where(F.col(text).isNotNull()).select(F.col(id).alias("id"), F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: x != "").alias("words"))
+
+
+def sparse_scan(terms: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """As sparse_topk, for texts (id, words) whose weights are their tokens' counts. Each task scores its own
+    texts against blocks of questions and hands on its first k, so that a question's frequent tokens, which
+    meet most texts, take no shuffle."""
+    found = _scanned(terms, texts, k)
+    if found is None:
+        found = texts.sparkSession.createDataFrame([], "qid long, id long, score double")
+    return top_per_group(found, ["qid"], [F.desc("score"), F.col("id")], k)
+
+
+def sparse_gold_ranks(terms: DataFrame, texts: DataFrame) -> DataFrame:
+    """qid, rank: the place of the text whose id is the question's among all texts that share a token with it."""
+    scores = sparse_pairs(terms, terms.select("qid", F.col("qid").alias("id")).distinct(), texts)
+    found = _scanned(terms, texts, None, scores)
+    if found is None:
+        found = texts.sparkSession.createDataFrame([], "qid long, above long")
+    return found.groupBy("qid").agg((F.sum("above") + 1).alias("rank")).join(scores.select("qid"), "qid", "left_semi")
+
+
+def sparse_pairs(terms: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """qid, id, score of those of the pairs (qid, id) that share a token."""
+    held = pairs.join(texts, "id").select("qid", "id", F.explode("words").alias("token")).groupBy("qid", "id", "token").agg(F.count(F.lit(1)).alias("tf"))
+    return held.join(terms, ["qid", "token"]).groupBy("qid", "id").agg(F.round(F.sum(F.col("weight") * F.col("tf")), PLACES).alias("score"))
+
+
 def fuse(*legs: DataFrame, k: int, constant: int = RRF_K) -> DataFrame:
     """qid, id, score, rank: reciprocal-rank fusion; each leg's rank, from 1, gives 1 / (constant + rank)."""
     whole = legs[0].select("qid", "id", "rank")

@@ -40,7 +40,22 @@ def postings(t: Tables):
     return retrieval.tokens(t("documents"), "doc_id")
 
 
-def sparse(t: Tables, k: int = _LEG):
+def whole_terms(t: Tables):
+    """qid, token, weight: all tokens of each question's text."""
+    held = postings(t)
+    count = held.agg(F.countDistinct("id").alias("n"))
+    known = held.where("id % 100 = 0").join(retrieval.document_frequency(held), "token").crossJoin(F.broadcast(count))
+    return known.select(F.col("id").alias("qid"), "token", retrieval.idf(F.col("n"), F.col("df")).alias("weight"))
+
+
+def word_lists(t: Tables):
+    return retrieval.word_lists(t("documents"), "doc_id")
+
+
+def sparse(t: Tables, k: int = _LEG, whole: bool = False):
+    """whole: by all tokens of a question; else by its ten rarest, as far as the SQL beside it follows."""
+    if whole:
+        return retrieval.sparse_scan(cut(whole_terms(t)), word_lists(t), k)
     held = postings(t)
     count = held.agg(F.countDistinct("id").alias("n")).withColumn("one", F.lit(1))
     asked = held.where("id % 100 = 0").withColumnRenamed("id", "qid")
@@ -66,8 +81,8 @@ _BOTH = f"""{_TERMS}, dl AS MATERIALIZED (SELECT * FROM ({_DENSE.format('')}) WH
     fused AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM (SELECT qid, id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT qid, id, rank FROM dl UNION ALL SELECT qid, id, rank FROM sl) GROUP BY ALL))"""
 
 
-def fused(t: Tables, k: int = _LEG):
-    return retrieval.fuse(dense(t), sparse(t), k=k)
+def fused(t: Tables, k: int = _LEG, whole: bool = False):
+    return retrieval.fuse(dense(t), sparse(t, whole=whole), k=k)
 
 
 @query("R05_hybrid_rrf", f"WITH {_BOTH} SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM fused WHERE rank <= 10")
@@ -77,14 +92,14 @@ def r05(t: Tables):
 
 
 @query("E03_leg_ranks", f"WITH {_BOTH} SELECT 'dense' AS leg, qid, id, rank::BIGINT AS rank FROM dl UNION ALL SELECT 'sparse', qid, id, rank::BIGINT FROM sl")
-def e03(t: Tables):
-    return dense(t).select(F.lit("dense").alias("leg"), "qid", "id", "rank").unionByName(sparse(t).select(F.lit("sparse").alias("leg"), "qid", "id", "rank"))
+def e03(t: Tables, whole: bool = False):
+    return dense(t).select(F.lit("dense").alias("leg"), "qid", "id", "rank").unionByName(sparse(t, whole=whole).select(F.lit("sparse").alias("leg"), "qid", "id", "rank"))
 
 
-def reranked(t: Tables, k: int):
+def reranked(t: Tables, k: int, whole: bool = False):
     texts = t("documents").select(F.col("doc_id").alias("id"), "text")
     asked = t("documents").where("doc_id % 100 = 0").select(F.col("doc_id").alias("qid"), F.col("title").alias("question"))
-    hits = fused(t).join(texts, "id").join(asked, "qid")
+    hits = fused(t, whole=whole).join(texts, "id").join(asked, "qid")
     return retrieval.rerank(hits, retrieval.overlap_score(F.col("question"), F.coalesce("text", F.lit(""))), k).select("qid", "id", "score", "rank")
 
 
@@ -101,9 +116,9 @@ def r06(t: Tables):
 
 @query("R07_tie_break", f"""WITH {_RERANKED} SELECT qid, id, place::BIGINT AS rank FROM (SELECT r.qid, r.id, row_number() OVER (PARTITION BY r.qid ORDER BY round_even(r.score, 2) DESC, coalesce(d.pagerank, 0) DESC, r.rank) AS place
     FROM reranked r JOIN documents d ON d.doc_id = r.id WHERE r.rank <= 24) WHERE place <= 8""")
-def r07(t: Tables):
+def r07(t: Tables, whole: bool = False):
     """Equal scores, to two places, in the order of pagerank."""
-    hits = reranked(t, 24).join(t("documents").select(F.col("doc_id").alias("id"), "pagerank"), "id")
+    hits = reranked(t, 24, whole).join(t("documents").select(F.col("doc_id").alias("id"), "pagerank"), "id")
     return retrieval.break_ties(hits, 8).select("qid", "id", F.col("place").alias("rank"))
 
 
@@ -150,10 +165,10 @@ def r11(t: Tables):
 
 
 @query("R12_response", f"""WITH {_RERANKED} SELECT r.qid, r.rank::BIGINT AS rank, d.title, round_even(r.score, 4)::DOUBLE AS score, d.last_modified::VARCHAR AS last_modified FROM reranked r JOIN documents d ON d.doc_id = r.id WHERE r.rank <= 8""")
-def r12(t: Tables):
+def r12(t: Tables, whole: bool = False):
     """Hits as they are shown."""
     pages = t("documents").select(F.col("doc_id").alias("id"), "title", F.col("last_modified").cast("string").alias("last_modified"))
-    return reranked(t, 8).join(pages, "id").select("qid", "rank", "title", F.bround("score", 4).alias("score"), "last_modified")
+    return reranked(t, 8, whole).join(pages, "id").select("qid", "rank", "title", F.bround("score", 4).alias("score"), "last_modified")
 
 
 @query("D17_max_pool", f"""SELECT d.source, token, round(max(ln(1 + greatest(tf, 0))), 6)::DOUBLE AS weight FROM {_TOKENS} x JOIN documents d ON d.doc_id = x.id GROUP BY d.source, token""")
@@ -169,3 +184,50 @@ def t15(t: Tables):
     pages = t("documents").select("doc_id", "title")
     path = F.coalesce("heading_path", F.array().cast("array<string>"))
     return t("chunks").where("doc_id % 100 = 0").join(pages, "doc_id").select("chunk_id", F.concat_ws(" ", F.concat(F.array("title"), path)).alias("question"))
+
+
+# The same by all tokens of a question. The queries above keep the ten rarest of their SQL, for comparison.
+
+
+def _all_tokens(sql: str) -> str:
+    return "WITH " + sql.replace(_TERMS, _TERMS.replace(" WHERE k <= 10)", ")"))
+
+
+@query("R04_sparse_topk_whole", _all_tokens(f"{_TERMS} SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM ({_SPARSE}) WHERE rank <= 10"))
+def r04_whole(t: Tables):
+    """Texts with the greatest weight of all of a question's tokens."""
+    return sparse(t, 10, whole=True)
+
+
+@query("E03_leg_ranks_whole")
+def e03_whole(t: Tables):
+    return e03(t, whole=True)
+
+
+@query("R05_hybrid_rrf_whole", _all_tokens(f"{_BOTH} SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM fused WHERE rank <= 10"))
+def r05_whole(t: Tables):
+    """Both legs, by all tokens, fused by reciprocal ranks."""
+    return fused(t, 10, whole=True)
+
+
+@query("R06_rerank_whole")
+def r06_whole(t: Tables):
+    return reranked(t, 24, whole=True)
+
+
+@query("R07_tie_break_whole")
+def r07_whole(t: Tables):
+    return r07(t, whole=True)
+
+
+@query("R11_self_retrieval_whole", _all_tokens(f"""{_TERMS}, h AS (SELECT * FROM ({_SPARSE})), g AS (SELECT qid, rank FROM h WHERE id = qid)
+    SELECT round(avg((rank <= 1)::INT), 6)::DOUBLE AS recall_1, round(avg((rank <= 5)::INT), 6)::DOUBLE AS recall_5, round(avg((rank <= 10)::INT), 6)::DOUBLE AS recall_10,
+      round(avg(1.0::DOUBLE / rank), 6)::DOUBLE AS mrr, quantile_cont(rank, 0.5)::DOUBLE AS median_rank, count(*)::BIGINT AS questions FROM g"""))
+def r11_whole(t: Tables):
+    """How far up all of a text's tokens find it among all texts."""
+    return retrieval.measures(retrieval.sparse_gold_ranks(cut(whole_terms(t)), word_lists(t)))
+
+
+@query("R12_response_whole")
+def r12_whole(t: Tables):
+    return r12(t, whole=True)
