@@ -204,6 +204,13 @@ def sparse_pairs(terms: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFr
     return held.join(terms, ["qid", "token"]).groupBy("qid", "id").agg(F.round(F.sum(F.col("weight") * F.col("tf")), PLACES).alias("score"))
 
 
+def dense_pairs(questions: DataFrame, pairs: DataFrame, corpus: DataFrame) -> DataFrame:
+    """qid, id, score of the pairs (qid, id) whose question and row both have a vector."""
+    held = pairs.join(corpus.select("id", "vector"), "id").join(questions.select("qid", F.col("vector").alias("asked")), "qid").where("vector IS NOT NULL AND asked IS NOT NULL")
+    each = F.zip_with("asked", "vector", lambda a, b: a.cast("double") * b.cast("double"))
+    return held.select("qid", "id", F.round(F.aggregate(each, F.lit(0.0), lambda x, y: x + y), PLACES).alias("score"))
+
+
 def fuse(*legs: DataFrame, k: int, constant: int = RRF_K) -> DataFrame:
     """qid, id, score, rank: reciprocal-rank fusion; each leg's rank, from 1, gives 1 / (constant + rank)."""
     whole = legs[0].select("qid", "id", "rank")

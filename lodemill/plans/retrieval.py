@@ -231,3 +231,15 @@ def r11_whole(t: Tables):
 @query("R12_response_whole")
 def r12_whole(t: Tables):
     return r12(t, whole=True)
+
+
+@query("R09_expanded_whole")
+def r09_whole(t: Tables):
+    """The first hits, then those of a second search among the mutual neighbours of the first ten alone, if not seen yet."""
+    terms = cut(whole_terms(t))
+    first = cut(retrieval.fuse(dense(t), retrieval.sparse_scan(terms, word_lists(t), _LEG), k=20))
+    near = graph.expand(resolved_edges(t), first.where("rank <= 10").select("qid", F.col("id").alias("node")), 40)
+    pairs = cut(near.select("qid", F.col("node").alias("id")))
+    legs = retrieval.dense_pairs(questions(t), pairs, vectors(t)), retrieval.sparse_pairs(terms, pairs, word_lists(t))
+    again = retrieval.fuse(*(top_per_group(leg, ["qid"], [F.desc("score"), F.col("id")], _LEG) for leg in legs), k=50)
+    return retrieval.append_unseen(first, again).select("qid", "id", F.col("place").alias("rank"))

@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 from lodemill.operators import retrieval
+from lodemill.plans import retrieval as plans
 
 
 def test_sparse_scan(spark, monkeypatch):
@@ -26,3 +27,16 @@ def test_sparse_scan(spark, monkeypatch):
     assert dict(got) == {q: rows[:20] for q, rows in ordered.items()} and all(len(rows) == 20 for rows in got.values())
     ranks = {r.qid: r["rank"] for r in retrieval.sparse_gold_ranks(asked, words).collect()}
     assert ranks == {q: [k for k, _ in rows].index(q) + 1 for q, rows in ordered.items()}
+
+
+def test_expansion_searches_the_neighbours_again(spark):
+    """Page 250 is linked with page 0 both ways, but far from it in words and vectors; so is 251, one way."""
+    links = {0: ["P250", "P251"], 250: ["P0"]}
+    docs = [(k, f"P{k}", "other" if k >= 250 else f"word {'x' * k}", links.get(k, [])) for k in range(260)]
+    tables = {
+        "documents": spark.createDataFrame(docs, "doc_id long, title string, text string, outlinks array<string>"),
+        "embeddings": spark.createDataFrame([(k, [1.0, -float(k)], 0) for k in range(260)], "vec_id long, embedding array<float>, label int"),
+        "redirects": spark.createDataFrame([], "alias string, canonical string"),
+    }
+    rows = {r.id: r["rank"] for r in plans.r09_whole(tables.__getitem__).where("qid = 0").collect()}
+    assert rows[250] == 21 and 251 not in rows and sorted(rows.values()) == list(range(1, 22))
