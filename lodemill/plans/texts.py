@@ -230,6 +230,14 @@ def t12(t: Tables):
     return whole.select("subject", "predicate", "object", "source", "obj_kind")
 
 
+@query("T12_relations_whole")
+def t12_whole(t: Tables):
+    """Relations by infobox, title, category and redirect, one of each key, with their evidence."""
+    docs = t("documents")
+    boxes = triples.infobox_relations(t("extracted_docs"), "link_html")
+    return triples.build(boxes, triples.title_relations(docs), triples.category_relations(docs), triples.redirect_relations(t("redirects")))
+
+
 def _class_sql() -> str:
     tests = [f"WHEN regexp_matches(title, '^([0-9]{{1,4}}년(대)?|[0-9]{{1,2}}월( [0-9]{{1,2}}일)?)$') THEN '{triples.CLASSES['개념']}'"]
     listed = lambda words: "['" + "', '".join(words) + "']"

@@ -12,6 +12,7 @@ from lodemill.functions import chunking, pages, text
 from lodemill.functions.vectors import dot, normalized
 from lodemill.operators import triples
 from lodemill.operators.ranking import global_rank, tile
+from lodemill.plans import texts as plans
 
 ODD = ["", "a+b c", "100%", "가/나", "~*_-.", "a&b=c#d?e", None, "é̈", "x" * 300]
 
@@ -152,3 +153,17 @@ def test_global_rank_and_tiles(spark, values):
     sizes = [len(values) // 4 + (k < len(values) % 4) for k in range(4)]
     tiles = [k + 1 for k, n in enumerate(sizes) for _ in range(n)]
     assert got == {i: (k + 1, tiles[k]) for k, i in enumerate(order)}
+
+
+def test_relations_of_all_four_sources(spark):
+    box = "<table><tr><td><strong>출생</strong></td><td><a href='/w/서울'>서울</a></td></tr><tr><td><strong>국적</strong></td><td>한국</td></tr></table>"
+    tables = {
+        "documents": spark.createDataFrame([("a/b", ["사람", "사람"]), ("c", None)], "title string, categories array<string>"),
+        "redirects": spark.createDataFrame([("x", "c"), (None, "c")], "alias string, canonical string"),
+        "extracted_docs": spark.createDataFrame([(1, "a/b", box), (2, "c", box), (3, "c", box), (4, "d", None)], "doc_id long, title string, link_html string"),
+    }
+    want = {(title, *fact[:2], fact[2], "infobox", fact[3]) for title in ("a/b", "c") for fact in pages.facts(box)}
+    assert len(want) == 4
+    want |= {("a/b", "PART_OF", "a", "page", "title", "a/b"), ("a/b", "INSTANCE_OF", "사람", "literal", "category", None), ("x", "SAME_AS", "c", "page", "redirect", None)}
+    got = [tuple(r) for r in plans.t12_whole(tables.__getitem__).collect()]
+    assert len(got) == len(want) and set(got) == want
