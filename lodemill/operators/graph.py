@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,24 +70,29 @@ def communities(pairs: DataFrame, *, rounds: int = 12, least: int = 5) -> DataFr
     """node, community by label propagation over undirected pairs (a, b); null in communities below least.
 
     Each round a node takes the label most frequent among its neighbours and itself, of equally frequent
-    ones the least; in odd rounds only nodes of odd hash move, in even rounds the others, so that two
-    sides never swap labels for ever. A hub's neighbours are counted by label before the shuffle. The
-    outcome is fixed by the edges; it is not that of a modularity search.
+    ones the least; in odd rounds only nodes of odd hash move, in even rounds the others. Two sides of one
+    half may still swap labels for ever, so after that many rounds only nodes move that come before all
+    their neighbours that want to. Each such move makes more pairs agree, so it ends, and only when no node
+    wants to move. A hub's neighbours are counted by label before the shuffle. The outcome is fixed by the
+    edges; it is not that of a modularity search.
     """
     both = cut(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v"))))
     labels = cut(both.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")))
-    still = 0
-    for number in range(rounds):
+    for number in count():
         votes = both.join(labels.withColumnRenamed("node", "v"), "v").select(F.col("u").alias("node"), "label").unionByName(labels)
         counted = votes.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
         best = counted.groupBy("node").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("b")).select("node", F.col("b.label").alias("new"))
         turn = F.pmod(F.xxhash64("node"), F.lit(2)) == number % 2
-        moved = labels.join(best, "node").select("node", F.when(turn, F.col("new")).otherwise(F.col("label")).alias("label"), F.col("label").alias("old"))
-        moved = cut(moved)
-        labels = moved.select("node", "label")
-        still = 0 if not moved.where("label <> old").isEmpty() else still + 1
-        if still == 2:  # neither half moves any more
+        wanted = cut(labels.join(best, "node").select("node", "label", "new", turn.alias("turn"), (F.col("label") != F.col("new")).alias("wants")))
+        if wanted.where("wants").isEmpty():
             break
+        if number >= rounds:
+            wants = wanted.where("wants").select("node", F.struct(F.xxhash64("node", F.lit(number)).alias("hash"), "node").alias("place"))
+            near = both.where("u <> v").join(wants.select(F.col("node").alias("v"), "place"), "v").groupBy(F.col("u").alias("node")).agg(F.min("place").alias("near"))
+            first = wants.join(near, "node", "left").where("near IS NULL OR place < near").select("node", F.lit(True).alias("first"))
+            wanted = wanted.join(first, "node", "left").withColumn("turn", F.coalesce("first", F.lit(False)))
+            wanted = cut(wanted)
+        labels = wanted.select("node", F.when(F.col("turn"), F.col("new")).otherwise(F.col("label")).alias("label"))
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     return labels.join(sizes, "label").select("node", F.when(F.col("size") >= least, F.col("label")).alias("community"))
 

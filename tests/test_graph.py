@@ -101,3 +101,16 @@ def test_expand_takes_any_seed_back(spark):
     edges = table(spark, [("a", "x"), ("x", "b"), ("a", "y"), ("b", "x"), ("a", "b"), ("y", "z"), ("x", "x")], "src string, dst string")
     seeds = table(spark, [(1, "a"), (1, "b")], "qid long, node string")
     assert [(r.node, r.shared, r["rank"]) for r in graph.expand(edges, seeds, 5).collect()] == [("x", 2, 1)]
+
+
+@pytest.mark.parametrize("rounds", [1, 12])
+def test_communities_settle(spark, rounds):
+    chooser = random.Random(9)
+    pairs = sorted({tuple(sorted(chooser.sample(range(150), 2))) for _ in range(260)} | {(k, k + 1) for k in range(150, 210)})
+    labels = {r.node: r.community for r in graph.communities(table(spark, pairs, "a long, b long"), rounds=rounds, least=1).collect()}
+    near = defaultdict(list)
+    for a, b in pairs:
+        near[a].append(b), near[b].append(a)
+    for node, label in labels.items():
+        votes = Counter([label, *(labels[v] for v in near[node])])
+        assert label == min(votes, key=lambda x: (-votes[x], x))
