@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 SALT = "__salt"
 HEAVY_SHARE = 0.005
 SALTS = 64
+#: Heavy keys are looked for in one row of so many. This only balances the work: every row is aggregated, salted or not.
+ONE_IN = 16
 
 
 def key_shares(df: DataFrame, keys: Sequence[str], count: Column | None = None) -> DataFrame:
@@ -34,21 +36,26 @@ def salted_aggregate(
     aggs: dict[str, tuple[Callable[[], Column], Callable[[Column], Column]]],
     *,
     salt_on: Sequence[str],
+    heavy: DataFrame | None = None,
     heavy_share: float = HEAVY_SHARE,
     salts: int = SALTS,
+    one_in: int = ONE_IN,
 ) -> DataFrame:
     """Two-stage salted aggregation: keys and one column per entry of aggs.
 
-    aggs: name -> (partial per key and salt, merge of those partials). Rows of heavy keys get a salt
-    0..salts-1, all others 0. The salt is a hash of salt_on, so a task that runs again gives a row the
+    aggs: name -> (partial per key and salt, merge of those partials). heavy: keys that are taken to be
+    heavy, at most 1/heavy_share; else those that hold that share of one row in one_in. Rows of heavy keys
+    get a salt 0..salts-1, all others 0. The salt is a hash of salt_on, so a task that runs again gives a row the
     same salt and no row is lost or counted twice. A partial that counts distinct values of salt_on
     columns may be merged by a sum, since equal values share a salt.
 
     Null keys form a group of their own. An empty df gives an empty result. Columns of df that are
     named neither in keys nor in aggs play no part, whatever their names.
     """
+    if heavy is None:
+        heavy = heavy_keys(df.where(F.pmod(F.xxhash64(*[df[c] for c in salt_on]), F.lit(one_in)) == 0), keys, heavy_share)
     # <=> keeps null keys; the heavy side has at most 1/heavy_share rows
-    heavy = heavy_keys(df, keys, heavy_share).select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__heavy"))
+    heavy = heavy.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__heavy"))
     on = None
     for k in keys:
         test = df[k].eqNullSafe(heavy[f"__h_{k}"])

@@ -22,30 +22,27 @@ def _targets(spark: SparkSession, root: str) -> DataFrame:
     return links.unionByName(rels)
 
 
-def _per_name(spark: SparkSession, root: str) -> DataFrame:
-    """field_name, name, n: rows of each target page."""
-    count = (lambda: F.count(F.lit(1)), lambda c: F.sum(c))
-    by_value = skew.salted_aggregate(_targets(spark, root), ["field_name", "raw"], {"n": count}, salt_on=["at"])
-    return by_value.groupBy("field_name", name(F.col("raw")).alias("name")).agg(F.sum("n").alias("n"))
-
-
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
     """Names with at least 2 % of all link entries, or of all relations rows; all rows count."""
-    per_name = _per_name(spark, root)
+    count = (lambda: F.count(F.lit(1)), lambda c: F.sum(c))
+    by_value = skew.salted_aggregate(_targets(spark, root), ["field_name", "raw"], {"n": count}, salt_on=["at"])
+    per_name = cut(by_value.groupBy("field_name", name(F.col("raw")).alias("name")).agg(F.sum("n").alias("n")))  # one for the totals and the shares
     totals = per_name.groupBy("field_name").agg(F.sum("n").alias("total"))  # two rows
     return per_name.join(F.broadcast(totals), "field_name").where("name IS NOT NULL AND n * 50 >= total").select("field_name", "name")
 
 
 def p1_targets(spark: SparkSession, root: str) -> DataFrame:
-    """Of each target page: how many references it has, and from how many pages."""
-    named = _targets(spark, root).where("raw IS NOT NULL")
-    sources = named.select("field_name", "raw", "source").groupBy("field_name", "raw", "source").agg(F.count(F.lit(1)).alias("m"))
-    per_pair = sources.groupBy("field_name", name(F.col("raw")).alias("name"), "source").agg(F.sum("m").alias("m"))
+    """Of each target page: how many references it has, and from how many pages.
+
+    Repeats of a page by a source are counted before and after the one shuffle of all pairs, which spreads
+    a page's sources; then pairs are salted by source, so each partial has its sources to itself.
+    """
+    named = _targets(spark, root).where("raw IS NOT NULL").withColumn("name", name(F.col("raw")))
+    keys = ["field_name", "name"]
+    heavy = skew.heavy_keys(named.where(F.pmod("at", F.lit(skew.ONE_IN)) == 0), keys)
+    pairs = named.groupBy(*keys, "source").agg(F.count(F.lit(1)).alias("m"))
     return skew.salted_aggregate(
-        per_pair,
-        ["field_name", "name"],
-        {"n_refs": (lambda: F.sum("m"), lambda c: F.sum(c)), "n_sources": (lambda: F.count(F.lit(1)), lambda c: F.sum(c))},
-        salt_on=["source"],
+        pairs, keys, {"n_refs": (lambda: F.sum("m"), lambda c: F.sum(c)), "n_sources": (lambda: F.count(F.lit(1)), lambda c: F.sum(c))}, salt_on=["source"], heavy=heavy
     )
 
 
