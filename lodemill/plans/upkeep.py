@@ -110,6 +110,18 @@ _NAME = "trim(regexp_replace(replace(nfc_normalize({0}), '_', ' '), '[\\s\\x{{A0
 _FILLED = "regexp_matches({0}, '[^\\s\\x{{A0}}\\x{{85}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}\\x{{1C}}-\\x{{1F}}]')"
 _LINKS = f"SELECT * FROM (SELECT doc_id, fetched_at, unnest(outlinks) AS value FROM documents) WHERE value IS NOT NULL AND {_FILLED.format('value')}"
 _KNOWN = f"""SELECT {_NAME.format('title')} AS name FROM documents UNION SELECT {_NAME.format('title')} FROM seed_titles UNION SELECT {_NAME.format('alias')} FROM redirects"""
+_REFS = f"""known AS ({_KNOWN}), r AS (SELECT DISTINCT table_name, coalesce(strftime(ts, '%Y-%m'), 'none') AS period, ref_from, ref_to, {_NAME.format('ref_to')} AS name FROM (
+            SELECT 'documents' AS table_name, fetched_at AS ts, doc_id::VARCHAR AS ref_from, value AS ref_to FROM ({_LINKS})
+            UNION ALL SELECT 'relations', extracted_at, subject, object FROM relations WHERE obj_kind = 'page' AND object IS NOT NULL
+            UNION ALL SELECT 'redirects', noticed_at, alias, canonical FROM redirects WHERE canonical IS NOT NULL))"""
+#: An alias is saved if it reaches a page or goes round in a circle; the others fall, after the longest way to an unknown name.
+_FALLEN = f"""pages AS (SELECT {_NAME.format('title')} AS name FROM documents WHERE title IS NOT NULL UNION SELECT {_NAME.format('title')} FROM seed_titles WHERE title IS NOT NULL),
+        w AS (SELECT DISTINCT {_NAME.format('alias')} AS name, {_NAME.format('canonical')} AS target FROM redirects WHERE alias IS NOT NULL AND {_NAME.format('alias')} NOT IN (SELECT name FROM pages)),
+        tc AS (SELECT name AS a, target AS b FROM w UNION SELECT tc.a, w.target FROM tc JOIN w ON tc.b = w.name),
+        saved AS (SELECT DISTINCT a FROM tc WHERE b IN (SELECT name FROM pages) OR b IN (SELECT a FROM tc WHERE a = b)),
+        fallen AS (SELECT * FROM w WHERE name NOT IN (SELECT a FROM saved)),
+        ways AS (SELECT name, 1 AS n FROM fallen UNION SELECT fallen.name, ways.n + 1 FROM ways JOIN fallen ON fallen.target = ways.name),
+        rounds AS (SELECT name, max(n)::INT AS round FROM ways GROUP BY name)"""
 _COPY_KEYS = """SELECT *, split_part(chunk_id, ':', 1) AS k1, TRY_CAST(split_part(chunk_id, ':', 2) AS HUGEINT) AS k2, lower(content_hash) AS k3 FROM chunk_records"""
 
 SQL = {
@@ -136,10 +148,13 @@ SQL = {
     "p5_kept": f"""
         SELECT * EXCLUDE (k1, k2, k3, best) FROM (SELECT *, min(record_id) OVER (PARTITION BY k1, k2, k3) AS best FROM ({_COPY_KEYS})) WHERE record_id = best""",
     "p6_found": f"""
-        WITH known AS ({_KNOWN}), r AS (
-            SELECT 'documents' AS table_name, fetched_at AS ts, doc_id::VARCHAR AS ref_from, value AS ref_to FROM ({_LINKS})
-            UNION ALL SELECT 'relations', extracted_at, subject, object FROM relations WHERE obj_kind = 'page' AND object IS NOT NULL
-            UNION ALL SELECT 'redirects', noticed_at, alias, canonical FROM redirects WHERE canonical IS NOT NULL)
-        SELECT DISTINCT table_name, coalesce(strftime(ts, '%Y-%m'), 'none') AS period, ref_from, ref_to FROM r
-        WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.name = {_NAME.format('ref_to')})""",
+        WITH {_REFS}
+        SELECT table_name, period, ref_from, ref_to FROM r WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.name = r.name)""",
+    "p6_inherited": f"""
+        WITH RECURSIVE {_REFS}, {_FALLEN}
+        SELECT table_name, period, ref_from, ref_to, round FROM r JOIN rounds USING (name)""",
+    "p6_report": f"""
+        WITH RECURSIVE {_REFS}, {_FALLEN}
+        SELECT table_name, period, 'direct' AS kind, count(*) AS n FROM r WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.name = r.name) GROUP BY ALL
+        UNION ALL SELECT table_name, period, 'inherited', count(*) FROM r JOIN rounds USING (name) GROUP BY ALL""",
 }
