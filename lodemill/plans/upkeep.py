@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.titles import name
 from ..operators import dedup, incremental, orphans, skew
-from ..session import cut, table
+from ..session import cut, shared_dir, table
 from .tables import alias_targets, known_pages, link_entries, month
 
 
@@ -47,13 +49,19 @@ def p1_targets(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
-    """Documents that the planned run takes up; see incremental.changed_records."""
-    runs = table(spark, root, "crawl_runs").where("status = 'planned'").agg(F.max("as_of")).first()  # one value
+    """Documents that the planned run takes up.
+
+    The current rows of crawl_state are adopted as what earlier runs left; then a run over the documents
+    descends its saved tree, and its published output is read back. Each call works in a folder of its own
+    below the shared one, as the tables tell what was processed, not an earlier call.
+    """
+    planned = table(spark, root, "crawl_runs").where("status = 'planned'").agg(F.max("as_of")).first()  # one value
     state = incremental.latest_state(table(spark, root, "crawl_state"), "doc_id", "last_fetched", "last_hash", "next_due_at")
-    return incremental.changed_records(
-        table(spark, root, "documents"), state, key="doc_id", value="content_hash", saved_value="last_hash", due="next_due_at",
-        as_of=F.lit(runs[0]).cast("timestamp_ntz"),
-    )
+    runs = incremental.IncrementalRun(spark, f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}")
+    runs.adopt(state.select(F.col("doc_id").alias("key"), F.lower("last_hash").alias("value"), F.col("next_due_at").alias("due")))
+    docs = table(spark, root, "documents").select("doc_id", "content_hash")
+    number = runs.run(docs, "doc_id", F.lower("content_hash"), lambda taken: taken.select("doc_id"), as_of=F.lit(planned[0]).cast("timestamp_ntz"))
+    return runs.output(number)
 
 
 def _copies(spark: SparkSession, root: str, columns: list[str], kept: bool) -> DataFrame:

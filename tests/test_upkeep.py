@@ -1,8 +1,11 @@
 """Skew, incremental runs, repeated messages and orphans, with nulls, ties, repeats and empty tables."""
 
+import json
+import random
 from collections import Counter
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -100,33 +103,42 @@ def test_copies_of_an_empty_table(spark, tmp_path):
     assert dedup.apply_vectors(spark, path, vectors, ["record_id"], kept=False).count() == 0
 
 
-def test_changed_records(spark):
-    docs = spark.createDataFrame([(i, f"h{i}") for i in range(300)] + [(300, None), (None, "x"), (301, "ABC")], "doc_id long, content_hash string")
+def test_due_records(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"h{i}", 0) for i in range(300)] + [(300, None, 0), (None, "x", 0), (301, "ABC", 0), (302, "r", 1), (302, "r", 2), (303, "s", 1), (303, "t", 2)], "doc_id long, content_hash string, run int")
     early, late, now = datetime(2026, 1, 1), datetime(2026, 3, 1), datetime(2026, 2, 1)
     old = [(i, early, f"H{i}", late) for i in range(250)]
     old[5] = (5, early, "other", early)  # changed and due
     old[6] = (6, early, "other", late)  # changed, not due
     old[7] = (7, early, "other", None)  # changed, no due time
     old[8] = (8, early, None, early)  # no hash
-    old += [(9, None, "other", early), (10, late, "other", early), (999, early, "gone", early), (301, early, "abc", early), (None, early, "z", early)]
+    old += [(9, None, "other", early), (10, late, "other", early), (999, early, "gone", early), (301, early, "abc", early), (None, early, "z", early), (302, early, "r", early)]
     state = spark.createDataFrame(old, "doc_id long, last_fetched timestamp_ntz, last_hash string, next_due_at timestamp_ntz")
     latest = incremental.latest_state(state, "doc_id", "last_fetched", "last_hash", "next_due_at")
-    assert latest.count() == 252
-    got = incremental.changed_records(docs, latest, key="doc_id", value="content_hash", saved_value="last_hash", due="next_due_at", as_of=F.lit(now))
-    assert sorted(r[0] for r in got.collect()) == [5, 7, 8, 10] + list(range(250, 300))
-    none = incremental.changed_records(docs.limit(0), latest, key="doc_id", value="content_hash", saved_value="last_hash", due="next_due_at", as_of=F.lit(now))
-    assert none.count() == 0
+    assert latest.count() == 253
+    runs = incremental.IncrementalRun(spark, f"file://{tmp_path}/due")
+    assert runs.adopt(latest.select(F.col("doc_id").alias("key"), F.lower("last_hash").alias("value"), F.col("next_due_at").alias("due"))) == 1
+
+    def take(at):
+        return [r[0] for r in runs.output(runs.run(docs, "doc_id", F.lower("content_hash"), lambda d: d.select("doc_id"), as_of=F.lit(at))).orderBy("doc_id").collect()]
+
+    assert take(now) == [5, 7, 8, 10] + list(range(250, 300)) + [303, 303]
+    assert take(now) == []  # what was taken up is saved, what isn't due waits
+    assert take(datetime(2026, 4, 1)) == [6]
+    assert {r.key for r in runs.saved_records().collect()} == set(range(300)) | {301, 302, 303}
+    none = runs.run(docs.limit(0), "doc_id", F.lower("content_hash"), lambda d: d.select("doc_id"))
+    assert runs.output(none).count() == 0 and runs.saved_records().count() == 0
 
 
 def test_only_changed_leaves_differ(spark):
-    a = spark.range(5000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
-    b = a.withColumn("v", F.when(F.col("k").isin(70, 4000), "y").otherwise(F.col("v"))).where("k <> 1000")
-    trees = [incremental.leaves(d, "k", F.col("v")) for d in (a, b)]
+    a = spark.range(5000).select((F.col("id") / 64).cast("long").alias("node"), F.col("id").alias("key"), F.lit("x").alias("value"))
+    b = a.withColumn("value", F.when(F.col("key").isin(70, 4000), "y").otherwise(F.col("value"))).where("key <> 1000")
+    trees = [incremental.tree_of(d.withColumn("run", F.lit(1).cast("long"))) for d in (a, b)]
     assert sorted(r[0] for r in incremental.changed_leaves(*trees).collect()) == [1, 1000 >> 6, 4000 >> 6]
     assert incremental.changed_leaves(trees[0], trees[0]).count() == 0
 
 
-def test_runs_survive_failures(spark, tmp_path):
+def test_runs_survive_failures(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "SPREAD", 2)
     runs = incremental.IncrementalRun(spark, f"file://{tmp_path}/runs")
     first = spark.createDataFrame([(i, f"v{i}") for i in range(200)] + [(900, None)], "k long, v string")
     seen = []
@@ -135,18 +147,54 @@ def test_runs_survive_failures(spark, tmp_path):
         seen.append(sorted(r[0] for r in df.select("k").collect()))
         return df
 
-    assert runs.run(first, "k", "v", take) == 1
-    second = spark.createDataFrame([(i, f"v{i}" if i % 50 else "new") for i in range(205)], "k long, v string")
-
     def fail(df):
         raise RuntimeError("lost")
 
+    assert runs.run(first, "k", F.col("v"), take) == 1
+    second = spark.createDataFrame([(i, f"v{i}" if i % 150 else "new") for i in range(205)], "k long, v string")
     with pytest.raises(RuntimeError):
-        runs.run(second, "k", "v", fail)
+        runs.run(second, "k", F.col("v"), fail)
     assert runs.published() == 1
-    assert runs.run(second, "k", "v", take) == 2
-    assert runs.run(second, "k", "v", take) == 3
-    assert seen == [list(range(200)), [0, 50, 100, 150, 200, 201, 202, 203, 204], []]
+    assert runs.run(second, "k", F.col("v"), take) == 2
+    monkeypatch.setattr(runs, "_publish", lambda *a: fail(a))  # dies before it publishes
+    third = second.withColumn("v", F.when(F.col("k") == 20, "newer").otherwise(F.col("v")))
+    with pytest.raises(RuntimeError):
+        runs.run(third, "k", F.col("v"), take)
+    monkeypatch.undo()
+    for number in (3, 4):
+        assert runs.run(third, "k", F.col("v"), take) == number
+    assert seen == [list(range(200)), [0, 150, 200, 201, 202, 203, 204], [20], [20], []]
+    assert {(r.key, r.value) for r in runs.saved_records().collect()} == {tuple(r) for r in third.collect()}
+
+
+def test_a_source_that_moves_during_a_run(spark, tmp_path, monkeypatch):
+    """Between digest and processing record 1 changes and record 2 comes: 1 is saved as processed, 2 waits."""
+    at = str(tmp_path / "moving.json")
+
+    def put(*rows):
+        with open(at, "w") as out:
+            json.dump(rows, out)
+
+    def now(frames):
+        with open(at) as f:
+            yield pd.DataFrame(json.load(f), columns=["k", "v"])
+
+    put((1, "a"))
+    source = spark.range(0, 1, 1, 1).mapInPandas(now, "k long, v string")
+    runs, leaf = incremental.IncrementalRun(spark, f"file://{tmp_path}/runs"), incremental.cut
+
+    def moved(df):
+        done = leaf(df)
+        put((1, "b"), (2, "c"))
+        return done
+
+    monkeypatch.setattr(incremental, "cut", moved)
+    one = runs.run(source, "k", F.col("v"), lambda d: d)
+    assert (1, "b") in {tuple(r) for r in runs.output(one).collect()}
+    monkeypatch.setattr(incremental, "cut", leaf)
+    put((1, "b"), (2, "d"))
+    two = runs.run(source, "k", F.col("v"), lambda d: d)
+    assert [tuple(r) for r in runs.output(two).collect()] == [(2, "d")]
 
 
 def test_cascade(spark):
@@ -163,9 +211,25 @@ def test_cascade(spark):
 
 
 def test_cascade_follows_any_number_of_redirects(spark):
-    chain = [(f"a{k:02}", f"a{k - 1:02}" if k else "nowhere") for k in range(40)]
+    chain = [(f"a{k:03}", f"a{k - 1:03}" if k else "nowhere") for k in range(200)] + [("c0", "c1"), ("c1", "c2"), ("c2", "c0"), ("c3", "c2")]
     pages = spark.createDataFrame([("p",)], "name string")
-    refs = spark.createDataFrame([("t", "2026-01", "a39"), ("t", "2026-01", "a33"), ("t", "2026-01", "p")], "table_name string, period string, name string")
+    refs = spark.createDataFrame([("t", "2026-01", n) for n, _ in chain] + [("t", "2026-01", "p")], "table_name string, period string, name string")
     found = orphans.cascade(refs, pages, spark.createDataFrame(chain, "name string, target string"))
-    assert {(r.name, r["round"]) for r in found.inherited.collect()} == {("a39", 40), ("a33", 34)}
-    assert {tuple(r) for r in found.report().collect()} == {("t", "2026-01", "inherited", 2)}
+    assert sorted((r.name, r["round"]) for r in found.inherited.collect()) == [(f"a{k:03}", k + 1) for k in range(200)]
+    assert {tuple(r) for r in found.report().collect()} == {("t", "2026-01", "inherited", 200)}
+
+
+def test_fallen_aliases_equal_brute_force(spark):
+    draw = random.Random(4)
+    links, want = [], {}
+    for g in range(40):  # forty small graphs in one table
+        own = [(f"{g}{draw.choice('abcdefgh')}", draw.choice([None, "p", "x", *(f"{g}{c}" for c in "abcdefgh")])) for _ in range(draw.randrange(14))]
+        links += own
+        targets = {n: {t for m, t in own if m == n} for n, _ in own if n != f"{g}h"}  # h is a page too
+        fallen: dict = {}
+        while now := {n: 1 + max(fallen.get(t, 0) for t in ts) for n, ts in targets.items() if n not in fallen and all(t in fallen or t not in targets and t not in ("p", f"{g}h") for t in ts)}:
+            fallen |= now
+        want |= fallen
+    pages = spark.createDataFrame([("p",)] + [(f"{g}h",) for g in range(40)], "name string")
+    aliases = spark.createDataFrame(links, "name string, target string").distinct()
+    assert want and {r.name: r["round"] for r in orphans.fallen_aliases(pages, aliases).collect()} == want
