@@ -1,8 +1,8 @@
 """The main body of a page: tree scoring of its text pieces.
 
 Text pieces pass points for length and commas, discounted by link density, to the containers above
-them. The best container is kept, with those containers beside and inside it that carry sections of
-their own. Left out are menus, boxes, side columns, notices and footers, which the tree tells by their
+them; so do the page's title and the place where a part of a page was cut out. The best container is kept,
+with those containers beside and inside it that carry sections of their own. Left out are menus, boxes, side columns, notices and footers, which the tree tells by their
 tags and by how they are built, and short texts that stand on many pages between ever other neighbours.
 """
 
@@ -11,8 +11,9 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,9 +39,12 @@ _MARK = re.compile(rf"<!--.*?(?:-->|\Z)|<({DROPPED})\b[^>]*>.*?(?:</\1\s*>|\Z)|<
 _SECTION = re.compile(r"""\bid\s*=\s*['"]""", re.I)
 _JUMP = re.compile(r"""\bhref\s*=\s*['"]?#""", re.I)
 _COMMA = re.compile("[,，、،]")
-#: Words with which a line that lists the page's categories begins (fixed values).
-_CATEGORY = re.compile(r"^(?:분류|카테고리|categor(?:y|ies)|kategorien?)\s*:", re.I)
+_LABEL = re.compile("[:：]")
+_SENTENCE = re.compile(r"""[.!?。！？…]["'”’)\]]*(?:\[\d+\])*$""")
 
+#: Points that the page's title gives, and that the unseen container gives in which a part of a page begins: as
+#: much as some five paragraphs, so a longer text beside it still wins.
+TITLE_POINTS = BEGIN_POINTS = 15.0
 #: A text of at most CHROME_CHARS on CHROME_SHARE % of its source's pages that stands after and before CHROME_PLACES different texts is furniture.
 CHROME_CHARS, CHROME_PLACES, CHROME_SHARE = 200, 6, 1
 
@@ -52,7 +56,6 @@ class Node:
     wraps: bool = False  # has block children
     text: bool = False  # has text of its own
     section: bool = False  # a heading of a section is below
-    button: bool = False
     points: float = 0.0
     path: set[str] = field(default_factory=set)
 
@@ -150,29 +153,39 @@ def _up(node: Node | None) -> Iterator[Node]:
         node = node.parent
 
 
-def score(pieces: list[Piece]) -> Node | None:
-    """Passes points to the containers and gives the best; of equal ones the first and innermost."""
+def score(pieces: list[Piece], first: Node) -> Node | None:
+    """Passes points to the containers and gives the best; of equal ones the first and innermost.
+
+    A piece gives its points to its own container, half of them to the next one up, and so on. first: the
+    node in which the part begins; if its start tag is not in the part, it gets BEGIN_POINTS.
+    """
     best: Node | None = None
+
+    def give(nodes: Iterable[Node], points: float) -> None:
+        nonlocal best
+        for n in nodes:
+            if n.name in _CONTAINERS or n.parent is None:
+                n.points += points
+                if best is None or n.points > best.points:
+                    best = n
+                points /= 2
+
+    if first.parent is not None:
+        give([first], BEGIN_POINTS)
     for piece in pieces:
         ups = list(_up(piece.node))
+        if piece.node.name == "h1":
+            give(ups[1:4], TITLE_POINTS)
         if any(n.name in _ASIDE for n in ups):
-            for n in ups:
-                n.button = n.button or piece.node.name == "button"
             continue
         heading = piece.node.name in _HEADINGS
         for n in ups:
             n.section = n.section or heading and piece.anchored
+        if piece.node.name == "h1":
+            continue
         points = 1 + len(_COMMA.findall(piece.text)) + min(len(piece.text) / 100, 3)
         points *= 1 - piece.linked / len(piece.text) if not heading else 0.5 + piece.anchored
-        share = 1.0
-        for n in ups[1:] if piece.node.parent is not None else ups:
-            if n.name in _CONTAINERS or n.parent is None:
-                n.points += points * share
-                if best is None or n.points > best.points:
-                    best = n
-                share /= 2
-                if share < 0.2:
-                    break
+        give(islice((n for n in (ups[1:] if piece.node.parent is not None else ups) if n.name in _CONTAINERS or n.parent is None), 3), points)
     return best
 
 
@@ -182,31 +195,29 @@ def main_body(source: str | None, furniture: frozenset[str] | set[str] = frozens
 
 
 def _kept(pieces: list[Piece], first: Node, furniture: frozenset[str] | set[str] = frozenset()) -> list[int]:
-    best = score(pieces)
+    best = score(pieces, first)
     if best is None:
         return []
-    title = next((k for k, p in enumerate(pieces) if p.node.name == "h1"), None)
-    edited = next((k for k, p in enumerate(pieces) if p.timed), None)
-    # the unseen container in which a part begins, or the one that holds the page's title, goes before a better one beside it
-    home = pieces[title].node.parent if title is not None else first if first.parent is not None else None
-    if home is not None and home.points > 0 and home.name not in ("body", "html"):
-        best = home
-    kept = []
-    for k, piece in enumerate(pieces):
-        if title is not None and k < title:
-            continue
-        if k == title:
-            kept.append(k)
-            continue
-        if title is not None and edited is not None and title < k < edited:
-            continue  # tools between the title and the time of the last edit
-        if piece.timed or piece.jumps and piece.node.name not in _HEADINGS or _CATEGORY.match(piece.text) or piece.text in furniture and not piece.anchored and not _listed(piece):
+    title = next((k for k, p in enumerate(pieces) if p.node.name == "h1"), 0)
+    kept = [title] if pieces[title].node.name == "h1" else []
+    for k in range(title + len(kept), len(pieces)):
+        piece = pieces[k]
+        if piece.timed or piece.jumps and piece.node.name not in _HEADINGS or piece.text in furniture and not piece.anchored and not _listed(piece):
             continue
         if _inside(piece, best):
             kept.append(k)
+    while kept and _labelled(pieces[kept[-1]]):
+        kept.pop()
     return kept
 
 
+def _labelled(piece: Piece) -> bool:
+    """A line with a label that is no sentence; at the end of a page it lists something about the page."""
+    if piece.node.name not in ("p", "div", "") or _listed(piece) or len(piece.text) > CHROME_CHARS:
+        return False
+    return bool(_LABEL.search(piece.text)) and not _SENTENCE.search(piece.text)
+
+
 def _listed(piece: Piece) -> bool:
     """In a list, table or quotation, whose entries may well be the same on many pages."""
     return any(n.name in ("ul", "ol", "table", "dl") for n in _up(piece.node))
