@@ -5,17 +5,20 @@ hash value that is set if an odd number of tokens hash to it; the Hamming distan
 never above the size of the sets' symmetric difference, which for a similarity of at least t is at most
 (1 - t) / (1 + t) of the sum of their sizes.
 
-At t = 0.6 that bound is a quarter of all tokens, so cutting the plain sketch into parts of which one
-must be equal would need more parts than there are tokens. The pigeonhole join therefore works on a
+At t = 0.6 that bound is a quarter of the sum, half the tokens of either text if they are of one size. Cut
+into one part more than that, of which one must be equal, the plain sketch would have two tokens to a part
+and nearly every pair would meet. The pigeonhole join therefore works on a
 parity sketch of a min-wise sample: tokens drawn by as many hash functions, four of them XORed into each
 of PARTS parts. Texts of similarity s agree in a part with probability s**4, so a pair at the
-threshold itself meets with 0.996 and one at 0.7 with 0.99998. What meets is tested by two bits of
-CHECKS further samples, by the full sketch's bound and last exactly.
+threshold itself meets with 0.996 and one at 0.7 with 0.99998. Parts meet within a band of sizes only; a
+text just above a band's lower end is in the one below too. What meets is tested by its sizes and two
+bits of CHECKS further samples, by the full sketch's bound and last exactly.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache, reduce
@@ -30,9 +33,13 @@ from ..session import cut, shared_dir
 from .words import code_points
 
 RUN, SIMILARITY = 5, 0.6
-PARTS, IN_PART, CHECKS, WORDS = 40, 4, 32, 16
-#: Of CHECKS two-bit samples so many must be equal: 32 * (0.6 + 0.4 / 4) = 22.4 are at the threshold, 3.6 deviations more than this.
-AGREE = 13
+PARTS, IN_PART, CHECKS, WORDS = 40, 4, 26, 16
+#: Of CHECKS two-bit samples so many must be equal: 26 * (0.6 + 0.4 / 4) = 18.2 are at the threshold, 3.6 deviations more than this.
+AGREE = 9
+#: A band of sizes spans so many doublings; sizes go with the samples in steps of a 64th doubling, above bit 2 * CHECKS.
+DOUBLINGS, STEPS = 5, 64
+#: Rows of parts, and texts, that a task gets; more than MOST_TASKS are not made.
+ROWS_A_TASK, TEXTS_A_TASK, MOST_TASKS = 250_000, 20_000, 20_000
 #: Digests of texts that a task remembers, so that it sketches one of several copies only.
 SEEN = 500_000
 #: A part that more than HOT texts share is split among tasks; found by one text in ONE_IN, which only balances the work.
@@ -50,6 +57,7 @@ _ODD = _random.integers(0, 1 << 63, PARTS * IN_PART, dtype=np.uint64) * np.uint6
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PART = np.arange(PARTS, dtype=np.uint64) << np.uint64(43)
 _PAIRS = np.uint64(4) ** np.arange(CHECKS, dtype=np.uint64)
+_BAND = np.uint64(0xD6E8FEB86659FD93)
 
 
 def folded(text: str | None) -> str:
@@ -88,8 +96,9 @@ def _samples(h: np.ndarray) -> np.ndarray:
     return least
 
 
-def sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Full sketch (WORDS longs), keys of the parts and the packed check samples of distinct token hashes."""
+def sketch(h: np.ndarray, similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray, int]:
+    """Full sketch (WORDS longs), keys of the parts in each band of sizes, and the packed check samples with
+    the size, of distinct token hashes."""
     parity = np.bincount((h & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
     full = np.packbits(parity.astype(np.uint8)).view("<i8")
     least = _samples(h)
@@ -97,18 +106,27 @@ def sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     mixed ^= mixed >> np.uint64(29)
     parts = np.bitwise_xor.reduce((mixed * _BASE).reshape(PARTS, IN_PART), axis=1)
     checks = int((((least[PARTS * IN_PART :] >> np.uint32(7)) & np.uint32(3)).astype(np.uint64) * _PAIRS).sum())
-    return full, (parts >> np.uint64(21)) | _PART, checks
+    keys = [((parts ^ np.uint64(band) * _BAND) >> np.uint64(21)) | _PART for band in bands(len(h), similarity)]
+    return full, np.concatenate(keys), checks | int(math.log2(len(h)) * STEPS) << 2 * CHECKS
+
+
+def bands(n: int, similarity: float) -> list[int]:
+    """The bands of sizes of a set of n tokens. Of two sets whose sizes differ by no more than the similarity
+    allows, the smaller one's band is one of the larger one's."""
+    own = (n.bit_length() - 1) // DOUBLINGS
+    return [own, own - 1] if own and math.ceil(n * similarity - 1e-9) < 1 << own * DOUBLINGS else [own]
 
 
 def _lists(rows: list[np.ndarray], there: list[bool]) -> pa.Array:
-    """Lists of longs, null where there is none; rows are those that are there, all of one length."""
+    """Lists of longs, null where there is none; rows are those that are there."""
     values = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
-    width = len(rows[0]) if rows else 0
-    ends = np.concatenate([[0], np.cumsum(np.where(there, width, 0))]).astype(np.int32)
+    widths = np.zeros(len(there), np.int64)
+    widths[there] = [len(r) for r in rows]
+    ends = np.concatenate([[0], np.cumsum(widths)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=pa.array(~np.array(there, bool)))
 
 
-def _sketches(run: int):
+def _sketches(run: int, similarity: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
@@ -129,7 +147,7 @@ def _sketches(run: int):
                     seen.clear()
                 seen.add(digest)
                 h = tokens(flat, run)
-                full, keys, check = sketch(h)
+                full, keys, check = sketch(h, similarity)
                 sizes.append(len(h)), fulls.append(full), parts.append(keys), first.append(True), checks.append(check - (1 << 64) if check >> 63 else check)
             yield pa.record_batch(
                 [pa.array(ids, pa.string()), pa.array(digests, pa.binary()), pa.array(rids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(checks, pa.int64()), _lists(fulls, first), _lists(parts, first)],
@@ -139,14 +157,16 @@ def _sketches(run: int):
     return work
 
 
-def _meet(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
-    """ra, rb: pairs that share a part and enough of the check samples."""
+def _meet(a: DataFrame, b: DataFrame, on: list[str], similarity: float) -> DataFrame:
+    """ra, rb: pairs that share a part, sizes near enough and enough of the check samples."""
     a, b = a.alias("a"), b.alias("b")
-    differ = F.col("a.checks").bitwiseXOR(F.col("b.checks"))
+    differ = F.col("a.checks").bitwiseXOR(F.col("b.checks")).bitwiseAND(F.lit((1 << 2 * CHECKS) - 1))
+    sizes = [F.shiftrightunsigned(f"{s}.checks", 2 * CHECKS) for s in "ab"]
+    sized = F.abs(sizes[0] - sizes[1]) <= math.ceil(-math.log2(similarity) * STEPS) + 1
     # of each two bits: equal or not
     unequal = F.bit_count(differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(0x5555555555555555)))
     same = reduce(lambda x, y: x & y, (F.col(f"a.{c}") == F.col(f"b.{c}") for c in on))
-    return a.join(b, same).where((F.col("a.rid") < F.col("b.rid")) & (unequal <= CHECKS - AGREE)).select(F.col("a.rid").alias("ra"), F.col("b.rid").alias("rb"))
+    return a.join(b, same).where((F.col("a.rid") < F.col("b.rid")) & sized & (unequal <= CHECKS - AGREE)).select(F.col("a.rid").alias("ra"), F.col("b.rid").alias("rb"))
 
 
 #: Token sets of texts that a task keeps while it verifies; a cluster's texts come again and again.
@@ -183,32 +203,37 @@ class NearDuplicates:
         spark = df.sparkSession
         source = df.where(F.col(id).isNotNull()).select(F.col(id).cast("string").alias("id"), F.col(text).alias("text"))
         at = f"{shared_dir(spark)}/neardup-{uuid.uuid4().hex}"
-        source.mapInArrow(_sketches(run), "id string, digest binary, rid long, n int, checks long, full array<long>, parts array<long>").write.parquet(at)
+        source.mapInArrow(_sketches(run, similarity), "id string, digest binary, rid long, n int, checks long, full array<long>, parts array<long>").write.parquet(at)
         sketched = spark.read.parquet(at)
-        self.members = sketched.select("id", "digest")
 
         firsts = sketched.where("parts IS NOT NULL")
-        rows = firsts.select(F.explode("parts").alias("part"), "rid", "checks").repartition("part").groupBy("part", "rid").agg(F.first("checks").alias("checks"))
+        texts, parts = firsts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("parts")), F.lit(0))).first()
+        tasks = lambda rows, each: min(MOST_TASKS, rows // each + 1)
+        rows = firsts.select(F.explode("parts").alias("part"), "rid", "checks").repartition(tasks(parts, ROWS_A_TASK), "part").groupBy("part", "rid").agg(F.first("checks").alias("checks"))
         hot = cut(
             firsts.where(F.col("rid") % ONE_IN == 0).select(F.explode("parts").alias("part"), "rid").distinct().groupBy("part")
             .agg(F.ceil(F.count(F.lit(1)) * ONE_IN / HOT).cast("int").alias("salts")).where("salts > 1")
         )
-        met = _meet(rows, rows, ["part"])
+        met = _meet(rows, rows, ["part"], similarity)
         if not hot.isEmpty():
             warm = rows.join(hot, "part")
             left = warm.withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("salts")).cast("int"))
             right = warm.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
             cold = rows.join(hot, "part", "left_anti")
-            met = _meet(cold, cold, ["part"]).unionByName(_meet(left, right, ["part", "salt"]))
+            met = _meet(cold, cold, ["part"], similarity).unionByName(_meet(left, right, ["part", "salt"], similarity))
         met = met.distinct()
 
         # one shuffle serves the removal of copies and both joins
-        whole = firsts.select("rid", "digest", "id", "n", "full").repartition("rid").groupBy("rid", "digest").agg(F.min(F.struct("id", "n", "full")).alias("x")).select("rid", "digest", "x.*")
+        whole = firsts.select("rid", "digest", "id", "n", "full").repartition(tasks(texts, TEXTS_A_TASK), "rid").groupBy("rid", "digest").agg(F.min(F.struct("id", "n", "full")).alias("x")).select("rid", "digest", "x.*")
         left, right = (whole.select(*[F.col(c).alias(f"{c}{s}") for c in ("id", "digest", "n", "full")], F.col("rid").alias(f"r{s}")) for s in "ab")
         apart = F.aggregate(F.zip_with("fulla", "fullb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         bound = F.lit((1 - similarity) / (1 + similarity)) * (F.col("na") + F.col("nb")) + F.lit(1e-9)
         sized = F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(similarity) - F.lit(1e-9)
         near = cut(met.join(left, "ra").join(right, "rb").where(sized & (apart <= bound)).select("ida", "idb", "digesta", "digestb"))
+        # nothing reads the sketches any more
+        self.members = cut(sketched.select("id", "digest"))
+        folder = spark._jvm.org.apache.hadoop.fs.Path(at)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
         wanted = near.select(F.col("ida").alias("id")).unionByName(near.select(F.col("idb").alias("id"))).distinct()
         # few ids go to the texts, many meet them in a shuffle

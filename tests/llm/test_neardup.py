@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from lodemill.llm import neardup
-from lodemill.llm.neardup import NearDuplicates, folded, tokens
+from lodemill.llm.neardup import bands, NearDuplicates, folded, tokens
 
 
 def grams(text):
@@ -87,3 +87,11 @@ def test_bound_and_size():
     apart = sum(int(x).bit_count() for x in (fa ^ fb).view(np.uint64))
     assert apart <= len(np.setxor1d(a, b))
     assert len(a) == len(grams("the quick brown fox jumps over the dog " * 3))
+
+
+def test_bands_of_sizes_meet():
+    for similarity in (0.6, 0.8):
+        for n in [*range(1, 300), 1023, 1024, 1025, 1700, 1706, 1707, 1708, 32768, 50000, 54613, 54614]:
+            for m in {n, n + 1, int(n / similarity), int(n / similarity) - 1}:
+                if m >= n >= similarity * m:
+                    assert bands(n, similarity)[0] in bands(m, similarity)
