@@ -7,11 +7,11 @@ windows is counted exactly beside them, in the same pass and behind the same gua
 
 from __future__ import annotations
 
-
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from .words import code_points, words
 WINDOW, LEAST_WINDOWS, SHARE = 5, 20, 0.3
 #: Words of a language's reference; (language, word) pairs a task holds before it writes partial counts.
 COMMON, HELD = 200, 200_000
-#: Languages that have a reference.
+#: Languages, those with the most text, whose references are broadcast; those of further ones are joined.
 LANGUAGES = 1000
 #: Character classes: Latin, Hangul, other letters, digits, marks, white space, punctuation, the rest.
 CLASSES = 8
@@ -100,13 +100,13 @@ def references(docs: DataFrame, *, text: str = "text", lang: str = "lang", commo
 
     All documents are counted; tasks hand on partial counts, of any word at most one row each time.
     """
-    counted = (
+    counted = cut(
         docs.where(F.col(text).isNotNull())
         .select(language(F.col(lang)).alias("lang"), F.col(text).alias("text"))
         .mapInArrow(_count, "lang string, word string, n long")
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n"))
-    )
+    )  # one pass over the texts for all that follows
     is_class = F.col("word").startswith("\0")
     ranked = counted.where(~is_class).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
     # the filter on the rank lets each task keep its first rows only
@@ -116,28 +116,40 @@ def references(docs: DataFrame, *, text: str = "text", lang: str = "lang", commo
     return top.unionByName(rest).unionByName(counted.where(is_class))
 
 
+#: A language's common words by place, its histogram of them and of all others, and its character classes.
+Reference = tuple[dict[str, int], np.ndarray, np.ndarray]
+
+
+def _reference(counts: dict[str, int]) -> Reference:
+    common = sorted(w for w in counts if w and w[0] != "\0")
+    return {w: i for i, w in enumerate(common)}, np.array([*(counts[w] for w in common), counts.get("", 0)], float), np.array([counts.get(f"\0{k}", 0) for k in range(CLASSES)], float)
+
+
+def _distances(text: str, found: list[str], reference: Reference) -> tuple[float | None, float | None]:
+    place, common, classes = reference
+    own = np.zeros(len(common))
+    for word, times in Counter(found).items():
+        own[place.get(word, -1)] += times
+    return divergence(class_counts(text).astype(float), classes), divergence(own, common)
+
+
 def _profile(shared, window: int, least: int):
+    """shared: the broadcast references by language; without it each row brings the words and counts of its own."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_lang: dict[str, tuple[dict[str, int], np.ndarray, np.ndarray]] = {}
-        for lang, counts in shared.value.items():
-            common = sorted((w for w in counts if w and w[0] != "\0"))
-            place = {w: i for i, w in enumerate(common)}
-            by_lang[lang] = place, np.array([*(counts[w] for w in common), counts.get("", 0)], float), np.array([counts.get(f"\0{k}", 0) for k in range(CLASSES)], float)
+        by_lang = {g: _reference(counts) for g, counts in shared.value.items()} if shared is not None else {}
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for key, lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            brought = zip(batch.column(3), batch.column(4)) if shared is None else repeat((None, None))
+            for key, lang, text, (held, counts) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), brought):
                 text = text.as_py() or ""
                 found = words(text)
                 n, again = repeated(found, window)
-                by_class = by_word = None
-                if n >= least and lang in by_lang:
-                    place, common, classes = by_lang[lang]
-                    by_class = divergence(class_counts(text).astype(float), classes)
-                    own = np.zeros(len(common))
-                    for word, times in Counter(found).items():
-                        own[place.get(word, -1)] += times
-                    by_word = divergence(own, common)
-                for column, value in zip(out, (key, n, again, again / n if n else 0.0, by_class, by_word)):
+                if held is not None and held.is_valid and n >= least and lang not in by_lang:
+                    by_lang.clear()  # rows of a language lie together
+                    by_lang[lang] = _reference(dict(zip(held.as_py(), counts.as_py())))
+                apart = _distances(text, found, by_lang[lang]) if n >= least and lang in by_lang else (None, None)
+                for column, value in zip(out, (key, n, again, again / n if n else 0.0, *apart)):
                     column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "windows", "repeated", "share", "class_distance", "word_distance"])
@@ -145,19 +157,29 @@ def _profile(shared, window: int, least: int):
     return run
 
 
-def profiles(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", window: int = WINDOW, least: int = LEAST_WINDOWS, common: int = COMMON) -> DataFrame:
+def profiles(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", window: int = WINDOW, least: int = LEAST_WINDOWS, common: int = COMMON, languages: int = LANGUAGES
+) -> DataFrame:
     """doc_id, windows, repeated, share, class_distance, word_distance of each document.
 
     share: windows of consecutive words that equal an earlier one, of all windows. The distances are null
     below least windows, too short a text to judge. Null and empty texts have no window and a share of 0.
-    References hold common + 9 counts a language and are broadcast for the LANGUAGES with the most text; a
-    document of any other tag gets its share without distances.
+    References hold common + 9 counts a language and are broadcast for the languages with the most text;
+    documents of any other tag are partitioned by it and meet its reference in a join.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), language(F.col(lang)).alias("lang"), F.col(text).alias("text"))
     by_lang: dict[str, dict[str, int]] = defaultdict(dict)
     counts = cut(references(docs, text=text, lang=lang, common=common))
-    largest = counts.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(LANGUAGES).select("lang")
+    sizes = counts.groupBy("lang").agg(F.sum("n").alias("all"))
+    largest = sizes.orderBy(F.desc("all"), "lang").limit(languages).select("lang")
     for row in counts.join(F.broadcast(largest), "lang", "left_semi").collect():
         by_lang[row[0]][row[1]] = row[2]
     shared = docs.sparkSession.sparkContext.broadcast(dict(by_lang))
-    return rows.mapInArrow(_profile(shared, window, least), "doc_id long, windows int, repeated int, share double, class_distance double, word_distance double")
+    kinds = "doc_id long, windows int, repeated int, share double, class_distance double, word_distance double"
+    if sizes.count() <= languages:
+        return rows.mapInArrow(_profile(shared, window, least), kinds)
+    told = F.broadcast(largest)
+    main = rows.join(told, "lang", "left_semi").select(*rows.columns).mapInArrow(_profile(shared, window, least), kinds)
+    own = counts.groupBy("lang").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("counts"))
+    rest = rows.join(told, "lang", "left_anti").repartition("lang").join(own, "lang", "left").select("doc_id", "lang", "text", "words", "counts").sortWithinPartitions("lang")
+    return main.unionByName(rest.mapInArrow(_profile(None, window, least), kinds))

@@ -46,6 +46,8 @@ def test_profiles(spark):
         for d in (got[i].class_distance, got[i].word_distance):
             assert d is None or 0 <= d <= 1
     assert repetition.profiles(df.limit(0)).count() == 0
+    few = {r.doc_id: r for r in repetition.profiles(df, languages=1).collect()}  # the others meet their references in a join
+    assert few == got and any(r.word_distance is not None for r in got.values())
 
 
 def test_references(spark):
