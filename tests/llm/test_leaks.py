@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import unicodedata
 
 import numpy as np
@@ -95,3 +96,36 @@ def test_spans():
     text, item = folded("xxabcdefghij"), folded("abcdXfghij")
     at = lambda w, k, e: int(spans(text, np.array([0]), np.array([len(text)]), [item], np.array([w]), k, e)[0][0])
     assert (at(2, 1, 0), at(2, 1, 1), at(3, 1, 0)) == (5, 10, 0)
+
+
+@pytest.mark.parametrize("dense_least, piece", [(0, 1 << 21), (1 << 16, 50), (1 << 16, 1 << 21)])
+def test_repeated_grams(monkeypatch, dense_least, piece):
+    """Items of a few letters in turn share q-grams at very many places with texts like them."""
+    monkeypatch.setattr(leaks_module, "DENSE_LEAST", dense_least)
+    monkeypatch.setattr(leaks_module, "PIECE", piece)
+    monkeypatch.setattr(leaks_module, "DENSE_SHARE", 1 << 30 if not dense_least else 40)
+    monkeypatch.setattr(leaks_module, "ACROSS", 16)
+    items = ["ab" * 40, "ab" * 20 + "x" + "ab" * 20, "abc" * 20 + "de" * 15, "ab" * 30 + "qrstuvwxyz" * 2, "nothing in common with the others at all, nothing in common"]
+    texts = ["ab" * 90, "zz" + "ab" * 27 + "y" + "ab" * 27, "abc" * 18 + "xx" + "de" * 20, "q" * 60, "ab" * 26 + "qrstuvwxyz", "abc" * 17, ""]
+    flat_items, flat_texts = [flat(i) for i in items], [flat(t) for t in texts]
+    index = leaks_module.Index.of(list(range(len(items))), items, 10)
+    got: dict = {}
+    for n, i, z, e in leaks_module._scan(index, [folded(t) for t in texts], 50, 10, 2):
+        before = got.get((n, i), (0, 0))
+        got[n, i] = max(before[0], z), max(before[1], e)
+    want = {(n, i): z for n, t in enumerate(flat_texts) for i, u in enumerate(flat_items) if (z := edit_run(t, u, 2)) >= 50 and longest_common(t, u) >= 12}
+    assert {k: z for k, (z, _) in got.items()} == want
+    assert all(e == longest_common(flat_texts[n], flat_items[i]) for (n, i), (_, e) in got.items() if e >= 50)
+    assert {k for k, (_, e) in got.items() if e >= 50} == {(n, i) for n, t in enumerate(flat_texts) for i, u in enumerate(flat_items) if longest_common(t, u) >= 50}
+
+
+def test_a_long_text_of_one_repeated_gram():
+    """A million characters against an item with the same q-grams throughout: bounded memory, no listing of all places."""
+    text = folded("ab" * (1 << 19))
+    for item, want in (("ab" * 500, (1000, 1000)), ("ab" * 250 + "x" + "ab" * 249 + "y", (1000, 500))):
+        index = leaks_module.Index.of([0], [item], 10)
+        tracemalloc.start()
+        got = list(leaks_module._scan(index, [text], 50, 10, 2))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert [g[2:] for g in got] == [want] and peak < 1 << 29
