@@ -5,11 +5,14 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: Values that a task holds before it writes a sorted run.
 RUN_ROWS = 1 << 18
 
@@ -42,31 +45,33 @@ def _merge(k: int):
         last: str | None = None
         running = total = 0
 
-        def close() -> None:
-            if last is None:
-                return
+        def close(value: str, n: int) -> None:
             if len(heap) < k:
-                heapq.heappush(heap, (running, last))
-            elif (running, last) > heap[0]:
-                heapq.heapreplace(heap, (running, last))
+                heapq.heappush(heap, (n, value))
+            elif (n, value) > heap[0]:
+                heapq.heapreplace(heap, (n, value))
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values, counts = batch.column(0), batch.column(1)
-            ends = pc.run_end_encode(values)
-            cum = pc.cumulative_sum(counts).to_pylist()
-            total += cum[-1]
-            before = 0
-            for value, end in zip(ends.values.to_pylist(), ends.run_ends.to_pylist()):
-                n = cum[end - 1] - before
-                before = cum[end - 1]
-                if value == last:
-                    running += n
-                else:
-                    close()
-                    last, running = value, n
-        close()
+            ends = pc.run_end_encode(batch.column(0))
+            values, stops = ends.values, ends.run_ends.to_numpy()
+            sums = np.add.reduceat(batch.column(1).to_numpy(), np.concatenate([[0], stops[:-1]]))
+            total += int(sums.sum())
+            if last is not None and values[0].as_py() == last:
+                sums[0] += running
+            elif last is not None:
+                close(last, running)
+            # the last value may go on in the next batch; of the others only those that can enter the heap leave numpy
+            inner = sums[:-1]
+            least = heap[0][0] if len(heap) == k else 0
+            if len(inner) > k:
+                least = max(least, int(np.partition(inner, -k)[-k]))
+            for i in np.flatnonzero(inner >= least):
+                close(values[int(i)].as_py(), int(inner[i]))
+            last, running = values[len(values) - 1].as_py(), int(sums[-1])
+        if last is not None:
+            close(last, running)
         rows = sorted(heap, reverse=True)
         yield pa.record_batch(
             [pa.array([v for _, v in rows] + [None], pa.string()), pa.array([n for n, _ in rows] + [total], pa.int64())], ["value", "n"]
@@ -88,7 +93,7 @@ def frequent_values(df: DataFrame, column: str, *, share: float, least: int = 1,
     runs = df.select(F.col(column).cast("string").alias("value")).where("value IS NOT NULL").mapInArrow(_runs, "value string, n long")
     parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_runs = runs.repartitionByRange(parts, "value").sortWithinPartitions("value")
-    tops = sorted_runs.mapInArrow(_merge(k), "value string, n long")
+    tops = cut(sorted_runs.mapInArrow(_merge(k), "value string, n long"))  # at most k + 1 rows a range
     one = F.lit(1).alias("one")
     total = tops.where("value IS NULL").groupBy(one).agg(F.sum("n").alias("total"))
     return (
