@@ -18,10 +18,12 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: The vocabulary's published pre-token pattern (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of a chunk and of its overlap with the next; characters by which the pattern looks ahead.
-CHUNK, OVERLAP, AHEAD = 1 << 18, 1 << 12, 3
+CHUNK, OVERLAP, AHEAD = 1 << 14, 1 << 10, 3
 #: Pre-tokens whose ids are remembered, and the longest such.
 KEPT, KEPT_CHARS = 200_000, 48
 
@@ -135,7 +137,8 @@ def encode(df: DataFrame, key: str, text: str, path: str, *, chunk: int = CHUNK,
     short = rows.where(~long).mapInArrow(_encode(path, 1), "key long, ids array<int>")
     chunks = rows.where(long).select(
         "key", F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / chunk).cast("int"))).alias("c"), "text"
-    ).select("key", "c", F.substring("text", F.col("c") * chunk + 1, F.lit(chunk + overlap)).alias("text")).repartition("key", "c")
+    ).select("key", "c", F.substring("text", F.col("c") * chunk + 1, F.lit(chunk + overlap)).alias("text"))
+    chunks = cut(chunks.repartition("key", "c"))  # read for their boundaries and for their pieces
     bounds = chunks.mapInArrow(_bounds(chunk, overlap), "key long, c int, head array<int>, tail array<int>")
     after = bounds.select("key", (F.col("c") - 1).alias("c"), F.col("head").alias("next"))
     in_order = Window.partitionBy("key").orderBy("c")
