@@ -38,24 +38,17 @@ def k01(t: Tables):
 
 
 _RANKS = "SELECT doc_id, 1.0 / (SELECT count(*) FROM documents) AS r, 0 AS k FROM documents"
-_ROUNDS = 5
+_ROUNDS = 30
 
 
 @query("K02_pagerank", f"""WITH RECURSIVE e AS MATERIALIZED (SELECT src, dst FROM {_RESOLVED}), deg AS MATERIALIZED (SELECT src, count(*) AS g FROM e GROUP BY src),
     n AS (SELECT count(*)::DOUBLE AS n FROM documents), r0 AS (SELECT doc_id, 1.0::DOUBLE / n AS r FROM documents, n),
     {', '.join(f'''r{k} AS MATERIALIZED (SELECT d.doc_id, 0.15 / n.n + 0.85 * (SELECT coalesce(sum(r), 0) FROM r{k - 1} WHERE doc_id NOT IN (SELECT src FROM deg)) / n.n + 0.85 * coalesce(g.got, 0) AS r
     FROM documents d CROSS JOIN n LEFT JOIN (SELECT e.dst, sum(p.r / deg.g) AS got FROM e JOIN deg USING (src) JOIN r{k - 1} p ON p.doc_id = e.src GROUP BY e.dst) g ON g.dst = d.doc_id)''' for k in range(1, _ROUNDS + 1))}
-    SELECT doc_id, round(r / (SELECT sum(r) FROM r{_ROUNDS}), 9)::DOUBLE AS pagerank FROM r{_ROUNDS}""")
+    SELECT doc_id, CASE WHEN title NOT IN ('{_CHROME}') THEN round(r / (SELECT sum(r) FROM r{_ROUNDS}), 9)::DOUBLE END AS pagerank FROM r{_ROUNDS} JOIN documents USING (doc_id)""")
 def k02(t: Tables):
-    """PageRank after five rounds, so that SQL can follow; see K02_pagerank_settled."""
+    """PageRank after thirty rounds, fewer if the ranks settle before; pages of the interface get none."""
     ranks = graph.pagerank(nodes(t), resolved_edges(t), rounds=_ROUNDS)
-    return ranks.select(F.col("id").alias("doc_id"), F.round("rank", 9).alias("pagerank"))
-
-
-@query("K02_pagerank_settled")
-def k02_settled(t: Tables):
-    """PageRank at its fixpoint; pages of the interface get none."""
-    ranks = graph.pagerank(nodes(t), resolved_edges(t))
     return ranks.join(nodes(t), "id").select(F.col("id").alias("doc_id"), F.when(~F.col("title").isin(*CHROME_TITLES), F.round("rank", 9)).alias("pagerank"))
 
 
@@ -179,11 +172,14 @@ def k12_paths(t: Tables):
     return graph.paths(topic_pairs(t), path_ends(t), 4).select("source", "target", F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
 
 
-@query("K13_picture", f"""WITH e AS MATERIALIZED (SELECT DISTINCT src, dst FROM {_EDGES} WHERE dst IS NOT NULL), q AS (SELECT doc_id, title, community FROM documents WHERE doc_id % 100 = 0),
+_PICTURE = f"""WITH e AS MATERIALIZED (SELECT DISTINCT src, dst FROM {_EDGES} WHERE dst IS NOT NULL), q AS (SELECT doc_id, title, community FROM documents WHERE doc_id % 100 = 0),
     n AS (SELECT q.doc_id, q.community, e.dst AS near, true AS o, false AS i FROM q JOIN e ON e.src = q.title UNION ALL SELECT q.doc_id, q.community, e.src, false, true FROM q JOIN e ON e.dst = q.title),
     f AS (SELECT n.doc_id, d.doc_id AS near_id, bool_or(o) AS to_near, bool_or(i) AS from_near, row_number() OVER (PARTITION BY n.doc_id ORDER BY (any_value(d.community) IS NOT DISTINCT FROM any_value(n.community)) DESC, any_value(d.pagerank) DESC NULLS LAST, d.doc_id) AS rk
       FROM n JOIN documents d ON d.title = n.near WHERE d.doc_id <> n.doc_id AND d.title NOT IN ('{_CHROME}') AND NOT regexp_matches(d.title, '{_CALENDAR}') GROUP BY n.doc_id, d.doc_id)
-    SELECT doc_id, near_id, to_near, from_near, to_near AND from_near AS mutual, rk::BIGINT AS rank FROM f WHERE rk <= 24""")
+    SELECT doc_id, near_id, to_near, from_near, to_near AND from_near AS mutual, rk::BIGINT AS rank FROM f WHERE rk <= 24"""
+
+
+@query("K13_picture", _PICTURE)
 def k13(t: Tables):
     """Pages to draw around an asked page: linked either way, those of its community first."""
     own = asked(t).select("doc_id", "title", "community")
@@ -198,7 +194,9 @@ def k13(t: Tables):
     return top_per_group(near, ["doc_id"], order, 24).select("doc_id", "near_id", "to_near", "from_near", (F.col("to_near") & F.col("from_near")).alias("mutual"), "rank")
 
 
-@query("K13_inner_edges")
+@query("K13_inner_edges", f"""WITH drawn AS MATERIALIZED (SELECT p.doc_id, d.title FROM ({_PICTURE}) p JOIN documents d ON d.doc_id = p.near_id), links AS MATERIALIZED (SELECT DISTINCT src, dst FROM {_EDGES} WHERE src <> dst),
+    named AS (SELECT subject, object, min(predicate) AS label FROM relations WHERE source = 'infobox' AND obj_kind = 'page' GROUP BY ALL)
+    SELECT a.doc_id, a.title AS src, b.title AS dst, label FROM links e JOIN drawn a ON a.title = e.src JOIN drawn b ON b.title = e.dst AND b.doc_id = a.doc_id LEFT JOIN named ON subject = e.src AND object = e.dst""")
 def k13_inner(t: Tables):
     """Links between the pages drawn around an asked page, with the relation that names them, if any."""
     drawn = k13(t)

@@ -18,9 +18,9 @@ _TOKENS = "(SELECT id, token, count(*) AS tf FROM (SELECT doc_id AS id, unnest(r
 _COSINE = "list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[])"
 _DENSE = f"""SELECT q.vec_id AS qid, e.vec_id AS id, round({_COSINE}, 6) AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY round({_COSINE}, 6) DESC, e.vec_id) AS rank
     FROM embeddings q JOIN embeddings e ON e.vec_id <> -1 {{0}} WHERE q.vec_id % 100 = 0"""
-#: Ten rarest tokens of each question's text.
+#: All tokens of each question's text.
 _TERMS = f"""tf AS MATERIALIZED {_TOKENS}, dfs AS MATERIALIZED (SELECT token, count(*) AS df FROM tf GROUP BY token), n AS (SELECT count(DISTINCT id) AS n FROM tf),
-    terms AS MATERIALIZED (SELECT * FROM (SELECT tf.id AS qid, tf.token, ln(1 + (n - df + 0.5) / (df + 0.5)) AS weight, row_number() OVER (PARTITION BY tf.id ORDER BY df, tf.token) AS k FROM tf JOIN dfs USING (token), n WHERE tf.id % 100 = 0) WHERE k <= 10)"""
+    terms AS MATERIALIZED (SELECT tf.id AS qid, tf.token, ln(1 + (n - df + 0.5) / (df + 0.5)) AS weight FROM tf JOIN dfs USING (token), n WHERE tf.id % 100 = 0)"""
 _SPARSE = "SELECT qid, id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM (SELECT terms.qid, tf.id, round(sum(terms.weight * tf.tf), 6) AS score FROM terms JOIN tf USING (token) GROUP BY ALL)"
 
 
@@ -40,7 +40,7 @@ def postings(t: Tables):
     return retrieval.tokens(t("documents"), "doc_id")
 
 
-def whole_terms(t: Tables):
+def question_terms(t: Tables):
     """qid, token, weight: all tokens of each question's text."""
     held = postings(t)
     count = held.agg(F.countDistinct("id").alias("n"))
@@ -52,17 +52,8 @@ def word_lists(t: Tables):
     return retrieval.word_lists(t("documents"), "doc_id")
 
 
-def sparse(t: Tables, k: int = _LEG, whole: bool = False):
-    """whole: by all tokens of a question; else by its ten rarest, as far as the SQL beside it follows."""
-    if whole:
-        return retrieval.sparse_scan(cut(whole_terms(t)), word_lists(t), k)
-    held = postings(t)
-    count = held.agg(F.countDistinct("id").alias("n")).withColumn("one", F.lit(1))
-    asked = held.where("id % 100 = 0").withColumnRenamed("id", "qid")
-    known = retrieval.document_frequency(held).withColumn("one", F.lit(1)).join(F.broadcast(count), "one")
-    rare = top_per_group(asked.join(known, "token"), ["qid"], [F.col("df"), F.col("token")], 10, "k")
-    terms = rare.select("qid", "token", retrieval.idf(F.col("n"), F.col("df")).alias("weight"))
-    return retrieval.sparse_topk(terms, held.select("id", "token", F.col("tf").alias("weight")), k)
+def sparse(t: Tables, k: int = _LEG):
+    return retrieval.sparse_scan(cut(question_terms(t)), word_lists(t), k)
 
 
 @query("R03_dense_topk", f"SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM ({_DENSE.format('')}) WHERE rank <= 10")
@@ -73,7 +64,7 @@ def r03(t: Tables):
 
 @query("R04_sparse_topk", f"WITH {_TERMS} SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM ({_SPARSE}) WHERE rank <= 10")
 def r04(t: Tables):
-    """Texts with the greatest weight of a question's rarest tokens."""
+    """Texts with the greatest weight of a question's tokens."""
     return sparse(t, 10)
 
 
@@ -81,8 +72,8 @@ _BOTH = f"""{_TERMS}, dl AS MATERIALIZED (SELECT * FROM ({_DENSE.format('')}) WH
     fused AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM (SELECT qid, id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT qid, id, rank FROM dl UNION ALL SELECT qid, id, rank FROM sl) GROUP BY ALL))"""
 
 
-def fused(t: Tables, k: int = _LEG, whole: bool = False):
-    return retrieval.fuse(dense(t), sparse(t, whole=whole), k=k)
+def fused(t: Tables, k: int = _LEG):
+    return retrieval.fuse(dense(t), sparse(t), k=k)
 
 
 @query("R05_hybrid_rrf", f"WITH {_BOTH} SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM fused WHERE rank <= 10")
@@ -92,14 +83,14 @@ def r05(t: Tables):
 
 
 @query("E03_leg_ranks", f"WITH {_BOTH} SELECT 'dense' AS leg, qid, id, rank::BIGINT AS rank FROM dl UNION ALL SELECT 'sparse', qid, id, rank::BIGINT FROM sl")
-def e03(t: Tables, whole: bool = False):
-    return dense(t).select(F.lit("dense").alias("leg"), "qid", "id", "rank").unionByName(sparse(t, whole=whole).select(F.lit("sparse").alias("leg"), "qid", "id", "rank"))
+def e03(t: Tables):
+    return dense(t).select(F.lit("dense").alias("leg"), "qid", "id", "rank").unionByName(sparse(t).select(F.lit("sparse").alias("leg"), "qid", "id", "rank"))
 
 
-def reranked(t: Tables, k: int, whole: bool = False):
+def reranked(t: Tables, k: int):
     texts = t("documents").select(F.col("doc_id").alias("id"), "text")
     asked = t("documents").where("doc_id % 100 = 0").select(F.col("doc_id").alias("qid"), F.col("title").alias("question"))
-    hits = fused(t, whole=whole).join(texts, "id").join(asked, "qid")
+    hits = fused(t).join(texts, "id").join(asked, "qid")
     return retrieval.rerank(hits, retrieval.overlap_score(F.col("question"), F.coalesce("text", F.lit(""))), k).select("qid", "id", "score", "rank")
 
 
@@ -116,9 +107,9 @@ def r06(t: Tables):
 
 @query("R07_tie_break", f"""WITH {_RERANKED} SELECT qid, id, place::BIGINT AS rank FROM (SELECT r.qid, r.id, row_number() OVER (PARTITION BY r.qid ORDER BY round_even(r.score, 2) DESC, coalesce(d.pagerank, 0) DESC, r.rank) AS place
     FROM reranked r JOIN documents d ON d.doc_id = r.id WHERE r.rank <= 24) WHERE place <= 8""")
-def r07(t: Tables, whole: bool = False):
+def r07(t: Tables):
     """Equal scores, to two places, in the order of pagerank."""
-    hits = reranked(t, 24, whole).join(t("documents").select(F.col("doc_id").alias("id"), "pagerank"), "id")
+    hits = reranked(t, 24).join(t("documents").select(F.col("doc_id").alias("id"), "pagerank"), "id")
     return retrieval.break_ties(hits, 8).select("qid", "id", F.col("place").alias("rank"))
 
 
@@ -126,15 +117,20 @@ def r07(t: Tables, whole: bool = False):
     o AS (SELECT s.qid, e.dst AS node, count(*) AS shared FROM s JOIN e ON e.src = s.node GROUP BY ALL),
     nb AS MATERIALIZED (SELECT qid, node FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY shared DESC, node) AS k FROM o WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.qid = o.qid AND s.node = o.node)
       AND EXISTS (SELECT 1 FROM s JOIN e ON e.dst = s.node WHERE s.qid = o.qid AND e.src = o.node)) WHERE k <= 40),
-    x AS (SELECT f.qid, f.id, f.rank AS base, row_number() OVER (PARTITION BY f.qid ORDER BY f.score DESC, f.id) AS rank FROM fused f JOIN nb ON nb.qid = f.qid AND nb.node = f.id)
+    dn AS (SELECT nb.qid, nb.node AS id, row_number() OVER (PARTITION BY nb.qid ORDER BY round({_COSINE}, 6) DESC, nb.node) AS rank FROM nb JOIN embeddings q ON q.vec_id = nb.qid JOIN embeddings e ON e.vec_id = nb.node),
+    sn AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM (SELECT nb.qid, tf.id, round(sum(terms.weight * tf.tf), 6) AS score FROM nb JOIN terms ON terms.qid = nb.qid JOIN tf ON tf.id = nb.node AND tf.token = terms.token GROUP BY ALL)),
+    x AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM (SELECT qid, id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT * FROM dn UNION ALL SELECT * FROM sn) GROUP BY ALL))
     SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY leg, rank, id)::BIGINT AS rank FROM (SELECT qid, id, rank, 0 AS leg FROM fused WHERE rank <= 20
-      UNION ALL SELECT qid, id, rank, 1 FROM x WHERE rank <= 50 AND base > 20)""")
+      UNION ALL SELECT qid, id, rank, 1 FROM x WHERE rank <= 50 AND NOT EXISTS (SELECT 1 FROM fused f WHERE f.rank <= 20 AND f.qid = x.qid AND f.id = x.id))""")
 def r09(t: Tables):
-    """The first hits, then those among the mutual neighbours of the first ten, if not seen yet."""
-    whole = cut(fused(t, 1 << 20))  # three uses; exchange reuse across them gave wrong rows in Spark 4.1.2
-    near = graph.expand(resolved_edges(t), whole.where("rank <= 10").select("qid", F.col("id").alias("node")), 40)
-    again = top_per_group(whole.join(near.select("qid", F.col("node").alias("id")), ["qid", "id"], "left_semi").drop("rank"), ["qid"], [F.desc("score"), F.col("id")], 50)
-    return retrieval.append_unseen(whole.where("rank <= 20"), again).select("qid", "id", F.col("place").alias("rank"))
+    """The first hits, then those of a second search among the mutual neighbours of the first ten alone, if not seen yet."""
+    terms = cut(question_terms(t))
+    first = cut(retrieval.fuse(dense(t), retrieval.sparse_scan(terms, word_lists(t), _LEG), k=20))
+    near = graph.expand(resolved_edges(t), first.where("rank <= 10").select("qid", F.col("id").alias("node")), 40)
+    pairs = cut(near.select("qid", F.col("node").alias("id")))
+    legs = retrieval.dense_pairs(questions(t), pairs, vectors(t)), retrieval.sparse_pairs(terms, pairs, word_lists(t))
+    again = retrieval.fuse(*(top_per_group(leg, ["qid"], [F.desc("score"), F.col("id")], _LEG) for leg in legs), k=50)
+    return retrieval.append_unseen(first, again).select("qid", "id", F.col("place").alias("rank"))
 
 
 @query("R10_filter_before", f"SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM ({_DENSE.format('AND e.label = q.label')}) WHERE rank <= 10")
@@ -150,25 +146,19 @@ def r10_after(t: Tables):
     return top_per_group(hits.withColumnRenamed("rank", "was"), ["qid"], [F.col("was")], 10).select("qid", "id", "rank")
 
 
-@query("R11_self_retrieval", f"""WITH {_TERMS.replace('FROM documents WHERE text IS NOT NULL', "FROM documents WHERE text IS NOT NULL")}, h AS (SELECT * FROM ({_SPARSE}) WHERE rank <= {_LEG}),
-    g AS (SELECT q.qid, coalesce(h.rank, (SELECT count(*) FROM documents) + 1) AS rank FROM (SELECT DISTINCT qid FROM terms) q LEFT JOIN h ON h.qid = q.qid AND h.id = q.qid)
+@query("R11_self_retrieval", f"""WITH {_TERMS}, h AS (SELECT * FROM ({_SPARSE})), g AS (SELECT qid, rank FROM h WHERE id = qid)
     SELECT round(avg((rank <= 1)::INT), 6)::DOUBLE AS recall_1, round(avg((rank <= 5)::INT), 6)::DOUBLE AS recall_5, round(avg((rank <= 10)::INT), 6)::DOUBLE AS recall_10,
       round(avg(1.0::DOUBLE / rank), 6)::DOUBLE AS mrr, quantile_cont(rank, 0.5)::DOUBLE AS median_rank, count(*)::BIGINT AS questions FROM g""")
 def r11(t: Tables):
-    """How far up a text's own rarest tokens find it; not found counts as one beyond the last."""
-    hits = sparse(t)
-    count = t("documents").agg((F.count(F.lit(1)) + 1).alias("beyond")).withColumn("one", F.lit(1))
-    own = hits.where("qid = id").select("qid", "rank")
-    asked = postings(t).where("id % 100 = 0").select(F.col("id").alias("qid")).distinct()
-    ranks = asked.join(own, "qid", "left").withColumn("one", F.lit(1)).join(F.broadcast(count), "one").select("qid", F.coalesce("rank", "beyond").alias("rank"))
-    return retrieval.measures(ranks)
+    """How far up a text's tokens find it among all texts."""
+    return retrieval.measures(retrieval.sparse_gold_ranks(cut(question_terms(t)), word_lists(t)))
 
 
 @query("R12_response", f"""WITH {_RERANKED} SELECT r.qid, r.rank::BIGINT AS rank, d.title, round_even(r.score, 4)::DOUBLE AS score, d.last_modified::VARCHAR AS last_modified FROM reranked r JOIN documents d ON d.doc_id = r.id WHERE r.rank <= 8""")
-def r12(t: Tables, whole: bool = False):
+def r12(t: Tables):
     """Hits as they are shown."""
     pages = t("documents").select(F.col("doc_id").alias("id"), "title", F.col("last_modified").cast("string").alias("last_modified"))
-    return reranked(t, 8, whole).join(pages, "id").select("qid", "rank", "title", F.bround("score", 4).alias("score"), "last_modified")
+    return reranked(t, 8).join(pages, "id").select("qid", "rank", "title", F.bround("score", 4).alias("score"), "last_modified")
 
 
 @query("D17_max_pool", f"""SELECT d.source, token, round(max(ln(1 + greatest(tf, 0))), 6)::DOUBLE AS weight FROM {_TOKENS} x JOIN documents d ON d.doc_id = x.id GROUP BY d.source, token""")
@@ -178,68 +168,9 @@ def d17(t: Tables):
     return best.select("source", "token", F.round(F.log1p(F.greatest("m", F.lit(0)).cast("double")), 6).alias("weight"))
 
 
-@query("T15_search_text", "SELECT c.chunk_id, array_to_string(list_prepend(d.title, coalesce(c.heading_path, [])), ' ') AS question FROM chunks c JOIN documents d USING (doc_id) WHERE c.doc_id % 100 = 0")
+@query("T15_search_text", "SELECT c.chunk_id, array_to_string(list_prepend(d.title, coalesce(c.heading_path, [])), ' ') AS question FROM chunks c JOIN documents d USING (doc_id)")
 def t15(t: Tables):
     """Title and headings of a chunk as a question."""
     pages = t("documents").select("doc_id", "title")
     path = F.coalesce("heading_path", F.array().cast("array<string>"))
-    return t("chunks").where("doc_id % 100 = 0").join(pages, "doc_id").select("chunk_id", F.concat_ws(" ", F.concat(F.array("title"), path)).alias("question"))
-
-
-# The same by all tokens of a question. The queries above keep the ten rarest of their SQL, for comparison.
-
-
-def _all_tokens(sql: str) -> str:
-    return "WITH " + sql.replace(_TERMS, _TERMS.replace(" WHERE k <= 10)", ")"))
-
-
-@query("R04_sparse_topk_whole", _all_tokens(f"{_TERMS} SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM ({_SPARSE}) WHERE rank <= 10"))
-def r04_whole(t: Tables):
-    """Texts with the greatest weight of all of a question's tokens."""
-    return sparse(t, 10, whole=True)
-
-
-@query("E03_leg_ranks_whole")
-def e03_whole(t: Tables):
-    return e03(t, whole=True)
-
-
-@query("R05_hybrid_rrf_whole", _all_tokens(f"{_BOTH} SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM fused WHERE rank <= 10"))
-def r05_whole(t: Tables):
-    """Both legs, by all tokens, fused by reciprocal ranks."""
-    return fused(t, 10, whole=True)
-
-
-@query("R06_rerank_whole")
-def r06_whole(t: Tables):
-    return reranked(t, 24, whole=True)
-
-
-@query("R07_tie_break_whole")
-def r07_whole(t: Tables):
-    return r07(t, whole=True)
-
-
-@query("R11_self_retrieval_whole", _all_tokens(f"""{_TERMS}, h AS (SELECT * FROM ({_SPARSE})), g AS (SELECT qid, rank FROM h WHERE id = qid)
-    SELECT round(avg((rank <= 1)::INT), 6)::DOUBLE AS recall_1, round(avg((rank <= 5)::INT), 6)::DOUBLE AS recall_5, round(avg((rank <= 10)::INT), 6)::DOUBLE AS recall_10,
-      round(avg(1.0::DOUBLE / rank), 6)::DOUBLE AS mrr, quantile_cont(rank, 0.5)::DOUBLE AS median_rank, count(*)::BIGINT AS questions FROM g"""))
-def r11_whole(t: Tables):
-    """How far up all of a text's tokens find it among all texts."""
-    return retrieval.measures(retrieval.sparse_gold_ranks(cut(whole_terms(t)), word_lists(t)))
-
-
-@query("R12_response_whole")
-def r12_whole(t: Tables):
-    return r12(t, whole=True)
-
-
-@query("R09_expanded_whole")
-def r09_whole(t: Tables):
-    """The first hits, then those of a second search among the mutual neighbours of the first ten alone, if not seen yet."""
-    terms = cut(whole_terms(t))
-    first = cut(retrieval.fuse(dense(t), retrieval.sparse_scan(terms, word_lists(t), _LEG), k=20))
-    near = graph.expand(resolved_edges(t), first.where("rank <= 10").select("qid", F.col("id").alias("node")), 40)
-    pairs = cut(near.select("qid", F.col("node").alias("id")))
-    legs = retrieval.dense_pairs(questions(t), pairs, vectors(t)), retrieval.sparse_pairs(terms, pairs, word_lists(t))
-    again = retrieval.fuse(*(top_per_group(leg, ["qid"], [F.desc("score"), F.col("id")], _LEG) for leg in legs), k=50)
-    return retrieval.append_unseen(first, again).select("qid", "id", F.col("place").alias("rank"))
+    return t("chunks").join(pages, "doc_id").select("chunk_id", F.concat_ws(" ", F.concat(F.array("title"), path)).alias("question"))
