@@ -1,6 +1,6 @@
 """Streams of fetch events and chunk messages into keyed tables.
 
-Every batch is merged under its number, so one that is repeated after a failure changes nothing. The
+Every batch is merged under its stream and number, so one that is repeated after a failure changes nothing. The
 steps are those of the batch rules; a stream over all events ends in the state that the batch gives.
 """
 
@@ -45,11 +45,21 @@ def outcomes(events: DataFrame) -> DataFrame:
     return grouped.applyInPandasWithState(_outcomes, OUTCOMES, "fails int, hash string", "append", GroupStateTimeout.NoTimeout)
 
 
+def _stream_id(checkpoint: str, batch: DataFrame) -> str:
+    """The id that Spark gave the stream when its checkpoint was made; a new checkpoint has another."""
+    spark = batch.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    lines = spark._jvm.java.util.Scanner(path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path), "UTF-8").useDelimiter("\\A")
+    return json.loads(lines.next())["id"]
+
+
 def into_table(stream: DataFrame, table: VersionedTable, keys: list[str], order: str, checkpoint: str) -> StreamingQuery:
-    """Merges a stream into a keyed table, of each key the row last in order, and ends when all is read."""
+    """Merges a stream into a keyed table and ends when all is read: of each key the row last in order, among
+    the batch and the table, so an older row that comes late changes nothing."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        table.upsert(latest(batch, keys, F.col(order)), keys, number)
+        rows = table.read().unionByName(batch.select(*table.read().columns))
+        table.replace(latest(rows, keys, F.col(order)), (_stream_id(checkpoint, batch), number))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -67,7 +77,7 @@ def chunk_messages(messages: DataFrame, table: VersionedTable, dead: str, checkp
         rows, broken = from_messages(batch.select("value"), schema)
         broken.write.mode("overwrite").json(f"{dead}/batch-{number}")
         last = latest(rows.where("chunk_id IS NOT NULL"), ["chunk_id"], F.col("offset"))
-        table.replace(latest(table.read().unionByName(last), ["chunk_id"], F.col("offset")), number)
+        table.replace(latest(table.read().unionByName(last), ["chunk_id"], F.col("offset")), (_stream_id(checkpoint, batch), number))
 
     return messages.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
