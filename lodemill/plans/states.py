@@ -176,7 +176,7 @@ def w02(t: Tables):
 @query("W03_backoff", f"""SELECT key, seq, kind, (count(*) FILTER (WHERE kind = 'failed') OVER (PARTITION BY key, part ORDER BY ts, seq))::BIGINT AS fail_count,
     ts + CASE kind WHEN 'gone' THEN INTERVAL 90 DAY WHEN 'ok' THEN INTERVAL 14 DAY ELSE INTERVAL 10 MINUTE * (count(*) FILTER (WHERE kind = 'failed') OVER (PARTITION BY key, part ORDER BY ts, seq)) END AS next_due_at FROM {_RUNS}""")
 def w03(t: Tables):
-    """Failures in a row and the next visit after each fetch, by the step function that streams use."""
+    """Failures in a row and the next visit after each fetch, by the rule that streams apply event by event."""
     out = rules.fetch_outcomes(fetch_events(t))
     kind = F.when(F.col("verdict").isin("changed", "unchanged"), "ok").otherwise(F.col("verdict"))
     return out.select("key", "seq", kind.alias("kind"), F.col("fail_count").cast("long").alias("fail_count"), "next_due_at")

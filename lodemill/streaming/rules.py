@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampNTZType
 
 from ..operators.fold import fold
 
@@ -33,12 +34,26 @@ def backoff_step(state: dict, event: dict) -> tuple[dict, tuple]:
     return {"fails": fails, "hash": held, "due": due}, (event["key"], event["seq"], verdict, fails, due, fails < TRIES)
 
 
-BACKOFF = StructType([StructField("key", LongType()), StructField("seq", LongType()), StructField("verdict", StringType()), StructField("fail_count", IntegerType()), StructField("next_due_at", TimestampNTZType()), StructField("retried", BooleanType())])
-
-
 def fetch_outcomes(events: DataFrame) -> DataFrame:
-    """key, seq, verdict, fail_count, next_due_at, retried after each event (key, seq, ts, kind, hash)."""
-    return fold(events.select("key", "seq", "ts", "kind", "hash"), "key", ["ts", "seq"], lambda: {"fails": 0, "hash": None, "due": None}, backoff_step, BACKOFF)
+    """key, seq, verdict, fail_count, next_due_at, retried after each event (key, seq, ts, kind, hash).
+
+    The rule of backoff_step over whole histories, by windows: failures are counted since the last success,
+    a hash is compared with that of the last success. A null key is a key of its own.
+    """
+    order = Window.partitionBy("key").orderBy("ts", "seq")
+    failed, gone = F.col("kind") == "failed", F.col("kind") == "gone"
+    ok = ~(failed | gone)
+    held = F.last(F.when(ok, F.struct("hash")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))["hash"]
+    parts = events.select("key", "seq", "ts", "kind", "hash").withColumns({"__held": held, "__part": F.sum(ok.cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))})
+    since = Window.partitionBy("key", "__part").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    counted = parts.withColumn("fail_count", F.sum(failed.cast("int")).over(since).cast("int"))
+    verdict = F.when(gone, "gone").when(failed, "failed").when(F.col("__held") == F.col("hash"), "unchanged").otherwise("changed")
+    wait = F.when(gone, _interval(GONE)).when(failed, F.make_dt_interval(mins=F.col("fail_count") * int(RETRY.total_seconds() // 60))).otherwise(_interval(REVISIT))
+    return counted.select("key", "seq", verdict.alias("verdict"), "fail_count", (F.col("ts") + wait).alias("next_due_at"), (F.col("fail_count") < TRIES).alias("retried"))
+
+
+def _interval(span: timedelta) -> Column:
+    return F.make_dt_interval(days=F.lit(span.days))
 
 
 def breaker_step(state: dict, event: dict) -> tuple[dict, tuple]:
