@@ -220,18 +220,18 @@ def t11(t: Tables):
     return triples.redirect_relations(t("redirects")).select("subject", "predicate", "object")
 
 
-@query("T12_relations", f"""SELECT subject, predicate, object, source, min(obj_kind) AS obj_kind FROM (SELECT title AS subject, 'PART_OF' AS predicate, {_PARENT} AS object, 'title' AS source, 'page' AS obj_kind FROM documents WHERE {_PARENT} <> '' AND {_PARENT} <> title
+@query("T12_relations_of_tables", f"""SELECT subject, predicate, object, source, min(obj_kind) AS obj_kind FROM (SELECT title AS subject, 'PART_OF' AS predicate, {_PARENT} AS object, 'title' AS source, 'page' AS obj_kind FROM documents WHERE {_PARENT} <> '' AND {_PARENT} <> title
     UNION ALL SELECT title, 'INSTANCE_OF', c, 'category', 'literal' FROM (SELECT title, unnest(categories) AS c FROM documents) WHERE {_CLEAN}
     UNION ALL SELECT alias, 'SAME_AS', canonical, 'redirect', 'page' FROM redirects WHERE alias IS NOT NULL AND canonical IS NOT NULL) GROUP BY ALL""".replace("min(obj_kind) AS obj_kind", "obj_kind"))
-def t12(t: Tables):
+def t12_tables(t: Tables):
     """Relations by title, category and redirect, one of each key."""
     docs = t("documents")
     whole = triples.build(triples.title_relations(docs), triples.category_relations(docs), triples.redirect_relations(t("redirects")))
     return whole.select("subject", "predicate", "object", "source", "obj_kind")
 
 
-@query("T12_relations_whole")
-def t12_whole(t: Tables):
+@query("T12_relations")
+def t12(t: Tables):
     """Relations by infobox, title, category and redirect, one of each key, with their evidence."""
     docs = t("documents")
     boxes = triples.infobox_relations(t("extracted_docs"), "link_html")

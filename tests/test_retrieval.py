@@ -38,5 +38,5 @@ def test_expansion_searches_the_neighbours_again(spark):
         "embeddings": spark.createDataFrame([(k, [1.0, -float(k)], 0) for k in range(260)], "vec_id long, embedding array<float>, label int"),
         "redirects": spark.createDataFrame([], "alias string, canonical string"),
     }
-    rows = {r.id: r["rank"] for r in plans.r09_whole(tables.__getitem__).where("qid = 0").collect()}
+    rows = {r.id: r["rank"] for r in plans.r09(tables.__getitem__).where("qid = 0").collect()}
     assert rows[250] == 21 and 251 not in rows and sorted(rows.values()) == list(range(1, 22))

@@ -165,5 +165,5 @@ def test_relations_of_all_four_sources(spark):
     want = {(title, *fact[:2], fact[2], "infobox", fact[3]) for title in ("a/b", "c") for fact in pages.facts(box)}
     assert len(want) == 4
     want |= {("a/b", "PART_OF", "a", "page", "title", "a/b"), ("a/b", "INSTANCE_OF", "사람", "literal", "category", None), ("x", "SAME_AS", "c", "page", "redirect", None)}
-    got = [tuple(r) for r in plans.t12_whole(tables.__getitem__).collect()]
+    got = [tuple(r) for r in plans.t12(tables.__getitem__).collect()]
     assert len(got) == len(want) and set(got) == want
