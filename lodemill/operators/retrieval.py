@@ -48,6 +48,20 @@ def _block(shared, k: int, per_group: bool):
     return work
 
 
+def question_blocks(questions: DataFrame) -> Iterator[list]:
+    """Rows of questions (qid, vector, ...) with a vector, in lists of at most BLOCK_BYTES of vectors."""
+    block: list = []
+    room = BLOCK_BYTES
+    for row in questions.where("vector IS NOT NULL").toLocalIterator():
+        if block and room < 8 * len(row[1]):
+            yield block
+            block, room = [], BLOCK_BYTES
+        block.append(row)
+        room -= 8 * len(row[1])
+    if block:
+        yield block
+
+
 def dense_topk(questions: DataFrame, corpus: DataFrame, k: int, *, group: str | None = None) -> DataFrame:
     """qid, id, score, rank: the k rows of corpus (id, vector) with the greatest inner product of each
     question (qid, vector), scores to six places, ties by the lesser id.
@@ -56,17 +70,9 @@ def dense_topk(questions: DataFrame, corpus: DataFrame, k: int, *, group: str |
     tables; a question then meets its own group's rows only, before the k are taken.
     """
     columns = ["qid", "vector", *([group] if group else [])]
-    blocks: list[list] = [[]]
-    room = BLOCK_BYTES
-    for row in questions.select(*columns).where("vector IS NOT NULL").toLocalIterator():
-        if blocks[-1] and room < 8 * len(row[1]):
-            blocks.append([])
-            room = BLOCK_BYTES
-        blocks[-1].append(row)
-        room -= 8 * len(row[1])
     rows = corpus.where("vector IS NOT NULL").select("id", "vector", *([group] if group else []))
     found = None
-    for block in filter(None, blocks):
+    for block in question_blocks(questions.select(*columns)):
         held = (np.array([r[0] for r in block], np.int64), np.array([r[1] for r in block], np.float64), np.array([r[2] for r in block], object) if group else None)
         part = rows.mapInArrow(_block(corpus.sparkSession.sparkContext.broadcast(held), k, group is not None), "qid long, id long, score double")
         found = part if found is None else found.unionByName(part)
@@ -216,8 +222,9 @@ def fuse(*legs: DataFrame, k: int, constant: int = RRF_K) -> DataFrame:
     whole = legs[0].select("qid", "id", "rank")
     for leg in legs[1:]:
         whole = whole.unionByName(leg.select("qid", "id", "rank"))
-    # summed in a fixed order
-    scores = whole.groupBy("qid", "id").agg(F.round(F.sum(1.0 / (constant + F.col("rank"))), PLACES).alias("score"))
+    # a term a leg at most, added in the order of size, so that the sum doesn't hang on the tasks' order
+    terms = whole.groupBy("qid", "id").agg(F.sort_array(F.collect_list(1.0 / (constant + F.col("rank")))).alias("terms"))
+    scores = terms.select("qid", "id", F.round(F.aggregate("terms", F.lit(0.0), lambda x, y: x + y), PLACES).alias("score"))
     return top_per_group(scores, ["qid"], [F.desc("score"), F.col("id")], k)
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..operators import graph, retrieval
+from ..operators import encoders, graph, retrieval
 from ..operators.ranking import top_per_group
+from ..operators.vectors import VectorIndex
 from .graphs import _RESOLVED, resolved_edges
-from ..session import cut
+from ..session import cut, shared_dir
 from .registry import Registry, Tables
 
 query = Registry()
@@ -62,6 +65,21 @@ def r03(t: Tables):
     return dense(t, 10)
 
 
+@query("R03_indexed_topk")
+def r03_indexed(t: Tables):
+    """The same through an index of int8 codes in cells: not exact, see its test for the recall."""
+    every = vectors(t)
+    index = VectorIndex.build(every, f"{shared_dir(every.sparkSession)}/vectors-{uuid.uuid4().hex}")
+    return index.search(questions(t), every, 10)
+
+
+@query("R01_dense_encode")
+def r01(t: Tables):
+    """Every chunk as a vector of length 1, by the stand-in model."""
+    chunks = t("chunks").select(F.xxhash64("chunk_id").alias("id"), "text")
+    return encoders.encode_dense(chunks, encoders.HashedWords)
+
+
 @query("R04_sparse_topk", f"WITH {_TERMS} SELECT qid, id, score::DOUBLE AS score, rank::BIGINT AS rank FROM ({_SPARSE}) WHERE rank <= 10")
 def r04(t: Tables):
     """Texts with the greatest weight of a question's tokens."""
