@@ -66,35 +66,70 @@ def undirected(edges: DataFrame) -> DataFrame:
     return edges.where("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct()
 
 
-def communities(pairs: DataFrame, *, rounds: int = 12, least: int = 5) -> DataFrame:
-    """node, community by label propagation over undirected pairs (a, b); null in communities below least.
-
-    Each round a node takes the label most frequent among its neighbours and itself, of equally frequent
-    ones the least; in odd rounds only nodes of odd hash move, in even rounds the others. Two sides of one
-    half may still swap labels for ever, so after that many rounds only nodes move that come before all
-    their neighbours that want to. Each such move makes more pairs agree, so it ends, and only when no node
-    wants to move. A hub's neighbours are counted by label before the shuffle. The outcome is fixed by the
-    edges; it is not that of a modularity search.
+#: Modularity by which two rounds of moves, or a level, must get better for the search to go on.
+BETTER = 1e-4
+
+
+def _moved(edges: DataFrame, total: int, better: float) -> tuple[DataFrame, float]:
+    """node, label after local moves, and their modularity. edges: u, v, w in both directions, loops once;
+    total: the sum of all w.
+
+    In a round half of the nodes, drawn by hash, may move, each to the neighbouring label with the greatest
+    gain, of equal ones the least. Weights are whole numbers, so gains and ties don't hang on the order of
+    sums. Every second round the modularity must have risen by better, else the best labels so far are
+    taken; as it cannot exceed 1, that ends.
     """
-    both = cut(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v"))))
-    labels = cut(both.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")))
+    labels = cut(edges.groupBy("u").agg(F.sum("w").alias("k")).select(F.col("u").alias("node"), F.col("u").alias("label"), "k"))
+    best, reached, checked = labels, -1.0, -1.0
     for number in count():
-        votes = both.join(labels.withColumnRenamed("node", "v"), "v").select(F.col("u").alias("node"), "label").unionByName(labels)
-        counted = votes.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
-        best = counted.groupBy("node").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("b")).select("node", F.col("b.label").alias("new"))
-        turn = F.pmod(F.xxhash64("node"), F.lit(2)) == number % 2
-        wanted = cut(labels.join(best, "node").select("node", "label", "new", turn.alias("turn"), (F.col("label") != F.col("new")).alias("wants")))
-        if wanted.where("wants").isEmpty():
+        sums = labels.groupBy("label").agg(F.sum("k").alias("tot"))
+        near = edges.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node"), "label").agg(
+            F.sum(F.when(F.col("u") != F.col("v"), F.col("w")).otherwise(0)).alias("to"), F.sum("w").alias("all")
+        )
+        here = labels.select("node", "label", F.lit(0).cast("long").alias("to"), F.lit(0).cast("long").alias("all"))
+        ways = near.unionByName(here).groupBy("node", "label").agg(F.sum("to").alias("to"), F.sum("all").alias("all"))
+        ways = ways.join(labels.select("node", F.col("label").alias("own"), "k"), "node").join(sums, "label")
+        stays = F.col("label") == F.col("own")
+        rest = F.col("tot") - F.when(stays, F.col("k")).otherwise(0)
+        ways = ways.withColumn("gain", F.round(F.col("to") - F.col("k") * rest / F.lit(float(total)), 9))
+        asked = ways.groupBy("node", "own", "k").agg(
+            F.max(F.struct("gain", (-F.col("label")).alias("least"))).alias("best"), F.max(F.when(stays, F.col("gain"))).alias("now"), F.max(F.when(stays, F.col("all"))).alias("inside")
+        )
+        turn = F.pmod(F.xxhash64("node", F.lit(number // 2)), F.lit(2)) == number % 2
+        asked = cut(asked.select("node", "own", "k", "inside", (-F.col("best.least")).alias("new"), (F.col("best.gain") > F.col("now")).alias("wants"), turn.alias("turn")))
+        inside, wanting = asked.agg(F.sum("inside"), F.count_if("wants")).first()
+        spread = sums.agg(F.sum(F.pow(F.col("tot") / F.lit(float(total)), F.lit(2.0)))).first()[0]
+        quality = round(inside / total - spread, 9)
+        if quality > reached:
+            best, reached = labels, quality
+        if not wanting or number % 2 == 0 and number and quality < checked + better:
+            return best.select("node", "label"), reached
+        checked = quality if number % 2 == 0 else checked
+        labels = asked.select("node", F.when(F.col("wants") & F.col("turn"), F.col("new")).otherwise(F.col("own")).alias("label"), "k")
+
+
+def communities(pairs: DataFrame, *, least: int = 5, better: float = BETTER) -> DataFrame:
+    """node, community by modularity search over undirected pairs (a, b: numbers); null in communities below
+    least. The community is named by one of its nodes.
+
+    Nodes move between neighbouring communities (_moved), then communities become the nodes of a smaller
+    graph, and so on until a level adds less than better to the modularity. The outcome is fixed by the edges.
+    """
+    ends = pairs.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).where("u <> v")
+    edges = cut(ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().withColumn("w", F.lit(1).cast("long")))
+    total = edges.count()
+    members = edges.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node"))
+    reached = -1.0
+    while total:
+        labels, quality = _moved(edges, total, better)
+        if quality < reached + better:
             break
-        if number >= rounds:
-            wants = wanted.where("wants").select("node", F.struct(F.xxhash64("node", F.lit(number)).alias("hash"), "node").alias("place"))
-            near = both.where("u <> v").join(wants.select(F.col("node").alias("v"), "place"), "v").groupBy(F.col("u").alias("node")).agg(F.min("place").alias("near"))
-            first = wants.join(near, "node", "left").where("near IS NULL OR place < near").select("node", F.lit(True).alias("first"))
-            wanted = wanted.join(first, "node", "left").withColumn("turn", F.coalesce("first", F.lit(False)))
-            wanted = cut(wanted)
-        labels = wanted.select("node", F.when(F.col("turn"), F.col("new")).otherwise(F.col("label")).alias("label"))
-    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    return labels.join(sizes, "label").select("node", F.when(F.col("size") >= least, F.col("label")).alias("community"))
+        reached = quality
+        members = cut(members.join(labels.select(F.col("node").alias("label"), F.col("label").alias("to")), "label").select("node", F.col("to").alias("label")))
+        one, two = (labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")) for end in "uv")
+        edges = cut(edges.join(one, "u").join(two, "v").groupBy(F.col("lu").alias("u"), F.col("lv").alias("v")).agg(F.sum("w").alias("w")))
+    sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    return members.join(sizes, "label").select("node", F.when(F.col("size") >= least, F.col("label")).alias("community"))
 
 
 def modularity(pairs: DataFrame, labels: DataFrame, resolution: float = 1.0) -> DataFrame:

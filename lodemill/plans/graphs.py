@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.values import CALENDAR_WEEK, CHROME_TITLES, FLOOR, PERSON_PREDICATES, TIERS
 from ..operators import graph
 from ..operators.ranking import top_per_group
+from ..session import cut
 from .registry import Registry, Tables
 from .relational import _EDGES, _FIRST, _INDEG, _STATE, asked, edges, first_pages, in_degree, state
 
@@ -80,11 +81,19 @@ def k06(t: Tables):
 
 @query("K07_communities")
 def k07(t: Tables):
-    """Communities of the undirected link graph by label propagation."""
+    """Communities of the undirected link graph by modularity search."""
     found = graph.communities(graph.undirected(resolved_edges(t)))
     return found.select(F.col("node").alias("doc_id"), "community")
 
 
+@query("K07_quality")
+def k07_quality(t: Tables):
+    """How many communities K07 finds, and their modularity, as K08 reckons it for the stored ones."""
+    pairs = cut(graph.undirected(resolved_edges(t)))
+    labels = cut(graph.communities(pairs).where("community IS NOT NULL"))
+    return graph.modularity(pairs, labels).agg(F.count(F.lit(1)).alias("communities"), F.round(F.coalesce(F.sum("part"), F.lit(0.0)), 6).alias("modularity"))
+
+
 @query("K08_modularity", f"""WITH p AS MATERIALIZED {_PAIRS}, m AS (SELECT count(*)::DOUBLE AS m FROM p), l AS (SELECT doc_id, community FROM documents WHERE community IS NOT NULL),
     n AS (SELECT x.community AS ca, y.community AS cb FROM p LEFT JOIN l x ON x.doc_id = p.a LEFT JOIN l y ON y.doc_id = p.b),
     d AS (SELECT c, count(*) AS degree FROM (SELECT ca AS c FROM n UNION ALL SELECT cb FROM n) WHERE c IS NOT NULL GROUP BY c), i AS (SELECT ca AS c, count(*) AS inside FROM n WHERE ca = cb GROUP BY ca)

@@ -103,14 +103,27 @@ def test_expand_takes_any_seed_back(spark):
     assert [(r.node, r.shared, r["rank"]) for r in graph.expand(edges, seeds, 5).collect()] == [("x", 2, 1)]
 
 
-@pytest.mark.parametrize("rounds", [1, 12])
-def test_communities_settle(spark, rounds):
-    chooser = random.Random(9)
-    pairs = sorted({tuple(sorted(chooser.sample(range(150), 2))) for _ in range(260)} | {(k, k + 1) for k in range(150, 210)})
-    labels = {r.node: r.community for r in graph.communities(table(spark, pairs, "a long, b long"), rounds=rounds, least=1).collect()}
-    near = defaultdict(list)
+def modularity_of(pairs, labels):
+    m = len(pairs)
+    inside, degree = Counter(), Counter()
     for a, b in pairs:
-        near[a].append(b), near[b].append(a)
-    for node, label in labels.items():
-        votes = Counter([label, *(labels[v] for v in near[node])])
-        assert label == min(votes, key=lambda x: (-votes[x], x))
+        inside[labels[a]] += labels[a] == labels[b]
+        degree[labels[a]] += 1
+        degree[labels[b]] += 1
+    return sum(inside[c] / m - (degree[c] / (2 * m)) ** 2 for c in degree)
+
+
+def test_communities_end_with_a_high_modularity(spark):
+    """Five dense groups, and pairs of nodes that could swap their labels for ever."""
+    chooser = random.Random(9)
+    pairs = sorted((a, b) for a in range(80) for b in range(a + 1, 80) if chooser.random() < (0.5 if a // 16 == b // 16 else 0.03))
+    pairs += [(100 + 2 * k, 101 + 2 * k) for k in range(10)]
+    labels = {r.node: r.community for r in graph.communities(table(spark, pairs, "a long, b long"), least=1).collect()}
+    assert labels.keys() == {v for pair in pairs for v in pair}
+    assert all(labels[100 + 2 * k] == labels[101 + 2 * k] for k in range(10))
+    planted = {v: v // 16 if v < 80 else v // 2 for v in labels}
+    assert modularity_of(pairs, labels) >= 0.9 * modularity_of(pairs, planted)
+
+
+def test_communities_of_nothing(spark):
+    assert graph.communities(table(spark, [], "a long, b long")).count() == 0
