@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, drop, keep, shared_dir
 from .skew import lookup
 
 #: Rounds between two lineage cuts of an iteration.
 EVERY = 4
+#: Neighbours in one row of a table of neighbours, about; a hub has several rows.
+PIECE = 1024
 
 
 def resolve(links: DataFrame, nodes: DataFrame, aliases: DataFrame, chrome: tuple[str, ...] = ()) -> DataFrame:
@@ -74,27 +77,49 @@ def communities(pairs: DataFrame, *, rounds: int = 12, least: int = 5) -> DataFr
     half may still swap labels for ever, so after that many rounds only nodes move that come before all
     their neighbours that want to. Each such move makes more pairs agree, so it ends, and only when no node
     wants to move. A hub's neighbours are counted by label before the shuffle. The outcome is fixed by the
-    edges; it is not that of a modularity search.
+    edges; it is not that of a modularity search. Neighbours lie in arrays, as each round shuffles them; the
+    rounds' tables are dropped as soon as the next is written.
     """
-    both = cut(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v"))))
-    labels = cut(both.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")))
+    spark = pairs.sparkSession
+    at = f"{shared_dir(spark)}/communities-{uuid.uuid4().hex}"
+    try:
+        labels = _settled(pairs, rounds, at)
+        sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+        return cut(labels.join(sizes, "label").select("node", F.when(F.col("size") >= least, F.col("label")).alias("community")))
+    finally:
+        drop(spark, at)
+
+
+def _settled(pairs: DataFrame, rounds: int, at: str) -> DataFrame:
+    """node, label when no node wants to move; tables are kept in the folder at."""
+    spark = pairs.sparkSession
+    ends = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))
+    both = keep(pairs.select(ends.alias("e")).select("e.*"), f"{at}/both")
+    degree = both.groupBy("v").agg(F.count(F.lit(1)).alias("degree"))
+    piece = F.pmod(F.xxhash64("u"), F.ceil(F.col("degree") / PIECE))
+    near = keep(both.join(degree, "v").groupBy("v", piece.alias("piece")).agg(F.collect_list("u").alias("near")).select("v", "near"), f"{at}/near")
+    labels = keep(near.select(F.col("v").alias("node")).distinct().withColumn("label", F.col("node")), f"{at}/labels")
+    drop(spark, f"{at}/both")
     for number in count():
-        votes = both.join(labels.withColumnRenamed("node", "v"), "v").select(F.col("u").alias("node"), "label").unionByName(labels)
-        counted = votes.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
-        best = counted.groupBy("node").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("b")).select("node", F.col("b.label").alias("new"))
-        turn = F.pmod(F.xxhash64("node"), F.lit(2)) == number % 2
-        wanted = cut(labels.join(best, "node").select("node", "label", "new", turn.alias("turn"), (F.col("label") != F.col("new")).alias("wants")))
-        if wanted.where("wants").isEmpty():
-            break
-        if number >= rounds:
-            wants = wanted.where("wants").select("node", F.struct(F.xxhash64("node", F.lit(number)).alias("hash"), "node").alias("place"))
-            near = both.where("u <> v").join(wants.select(F.col("node").alias("v"), "place"), "v").groupBy(F.col("u").alias("node")).agg(F.min("place").alias("near"))
-            first = wants.join(near, "node", "left").where("near IS NULL OR place < near").select("node", F.lit(True).alias("first"))
-            wanted = wanted.join(first, "node", "left").withColumn("turn", F.coalesce("first", F.lit(False)))
-            wanted = cut(wanted)
-        labels = wanted.select("node", F.when(F.col("turn"), F.col("new")).otherwise(F.col("label")).alias("label"))
-    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    return labels.join(sizes, "label").select("node", F.when(F.col("size") >= least, F.col("label")).alias("community"))
+        heard = near.join(labels.withColumnRenamed("node", "v"), "v").select(F.explode("near").alias("node"), "label", F.lit(False).alias("own"))
+        counted = heard.unionByName(labels.select("node", "label", F.lit(True).alias("own"))).groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own"))
+        best = counted.groupBy("node").agg(F.max(F.when(F.col("own"), F.col("label"))).alias("label"), F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("b"))
+        wanted = keep(best.select("node", "label", F.col("b.label").alias("new")), f"{at}/wanted-{number}")
+        wants = F.col("label") != F.col("new")
+        if wanted.where(wants).isEmpty():
+            return wanted.select("node", "label")
+        if number < rounds:
+            turn = F.pmod(F.xxhash64("node"), F.lit(2)) == number % 2
+            labels = wanted.select("node", F.when(turn, F.col("new")).otherwise(F.col("label")).alias("label"))
+        else:
+            place = F.struct(F.xxhash64("node", F.lit(number)).alias("hash"), "node")
+            told = near.join(wanted.where(wants).select(F.col("node").alias("v"), place.alias("place")), "v").select(F.explode("near").alias("node"), "v", "place")
+            first = told.where("node <> v").groupBy("node").agg(F.min("place").alias("first"))
+            moves = wants & (F.col("first").isNull() | (place < F.col("first")))
+            labels = keep(wanted.join(first, "node", "left").select("node", F.when(moves, F.col("new")).otherwise(F.col("label")).alias("label")), f"{at}/labels-{number}")
+        if number:
+            drop(spark, f"{at}/wanted-{number - 1}")
+            drop(spark, f"{at}/labels-{number - 1}")
 
 
 def modularity(pairs: DataFrame, labels: DataFrame, resolution: float = 1.0) -> DataFrame:

@@ -56,6 +56,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keep(df: DataFrame, at: str) -> DataFrame:
+    """Write df as a table at this place of the shared folder and go on from there; drop() ends it.
+
+    For loops that join what they made before: cut() keeps the planner's estimate of the size, for a join the product
+    of both sides', so that a loop's estimates grow to numbers of millions of digits. Of a table the files count.
+    """
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def drop(spark: SparkSession, at: str) -> None:
+    """Delete a table that keep() wrote, or a folder of them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(at)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def tokenizer_dir() -> str:
     """Where public vocabulary files lie; LODEMILL_TOKENIZERS overrides."""
     return os.environ.get("LODEMILL_TOKENIZERS", "/opt/tokenizers")

@@ -114,3 +114,20 @@ def test_communities_settle(spark, rounds):
     for node, label in labels.items():
         votes = Counter([label, *(labels[v] for v in near[node])])
         assert label == min(votes, key=lambda x: (-votes[x], x))
+
+
+def test_communities_leave_no_growing_estimates(spark):
+    """Each round joins the outcome of the one before twice: the planner's estimate of the size once was a number whose
+    digits doubled with each, until the driver's memory was full."""
+    chooser = random.Random(9)
+    pairs = sorted({tuple(sorted(chooser.sample(range(150), 2))) for _ in range(260)} | {(k, k + 1) for k in range(150, 210)})
+    labels = graph.communities(table(spark, pairs, "a long, b long"), rounds=1, least=1)
+    assert labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**100
+
+
+def test_communities_of_hubs_and_of_nothing(spark, monkeypatch):
+    monkeypatch.setattr(graph, "PIECE", 3)
+    pairs = [(0, k) for k in range(1, 40)] + [(100, k) for k in range(101, 140)]
+    labels = {r.node: r.community for r in graph.communities(table(spark, pairs, "a long, b long")).collect()}
+    assert labels == {v: v // 100 * 100 for pair in pairs for v in pair}
+    assert graph.communities(table(spark, [], "a long, b long")).count() == 0
